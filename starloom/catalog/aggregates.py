@@ -26,17 +26,18 @@ TABLES = (
 
 
 @query("agg_group_mean", """
-SELECT s_nationkey, CAST(s_suppkey % 2 AS BIGINT) AS side, round(avg(s_acctbal), 4) AS mean_balance,
-       round(avg(s_suppkey), 4) AS mean_key
+SELECT s_nationkey, CAST(s_suppkey % 2 AS BIGINT) AS side,
+       avg(round(s_acctbal * 100)) AS mean_cents, avg(s_suppkey) AS mean_key
 FROM supplier GROUP BY s_nationkey, s_suppkey % 2
 """)
 def agg_group_mean(spark, sf):
-    """Mean of two columns on two keys."""
-    suppliers = table(spark, sf, "supplier").withColumn("side", F.col("s_suppkey") % 2)
-    means = group_mean(
-        suppliers, ["s_nationkey", "side"], {"s_acctbal": "mean_balance", "s_suppkey": "mean_key"}
+    """Mean of two columns on two keys; sums of whole numbers are exact in any order."""
+    suppliers = table(spark, sf, "supplier").withColumns({
+        "side": F.col("s_suppkey") % 2, "cents": F.round(F.col("s_acctbal") * 100)
+    })
+    return group_mean(
+        suppliers, ["s_nationkey", "side"], {"cents": "mean_cents", "s_suppkey": "mean_key"}
     )
-    return means.withColumns({c: F.round(c, 4) for c in ("mean_balance", "mean_key")})
 
 
 def _pivot_cells(function: str, column: str) -> str:

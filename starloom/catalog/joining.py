@@ -155,7 +155,7 @@ def join_mixed_type_key(spark, sf):
 
 @query("join_left_composite", """
 WITH pairs AS (SELECT DISTINCT c_nationkey, c_mktsegment FROM customer),
-     means AS (SELECT c_nationkey, c_mktsegment, round(avg(c_acctbal), 4) AS mean_balance
+     means AS (SELECT c_nationkey, c_mktsegment, avg(round(c_acctbal * 100)) / 100 AS mean_balance
                FROM customer WHERE c_acctbal > 9000 GROUP BY c_nationkey, c_mktsegment)
 SELECT p.c_nationkey, p.c_mktsegment, mean_balance
 FROM pairs p LEFT JOIN means m USING (c_nationkey, c_mktsegment)
@@ -164,7 +164,7 @@ def join_left_composite(spark, sf):
     customer = table(spark, sf, "customer")
     keys = ["c_nationkey", "c_mktsegment"]
     rich = customer.filter("c_acctbal > 9000").groupBy(*keys).agg(
-        F.round(F.avg("c_acctbal"), 4).alias("mean_balance")
+        _mean_of_cents("c_acctbal").alias("mean_balance")
     )
     return customer.select(*keys).distinct().join(rich, keys, "left")
 
@@ -227,16 +227,21 @@ def join_band(spark, sf):
 
 SEGMENT_MEANS_SQL = """
 SELECT c_nationkey AS mean_nation, c_mktsegment AS mean_segment,
-       round(avg(c_acctbal), 2) AS mean_balance
+       avg(round(c_acctbal * 100)) / 100 AS mean_balance
 FROM customer GROUP BY c_nationkey, c_mktsegment
 """
 
 
+def _mean_of_cents(column):
+    """Sums of whole cents are exact, so the mean does not depend on row order."""
+    return F.avg(F.round(F.col(column) * 100)) / 100
+
+
 def _segment_means(spark, sf):
     """A few rows per nation, as one city name stands for a few places."""
     return table(spark, sf, "customer").groupBy(
         F.col("c_nationkey").alias("mean_nation"), F.col("c_mktsegment").alias("mean_segment")
-    ).agg(F.round(F.avg("c_acctbal"), 2).alias("mean_balance"))
+    ).agg(_mean_of_cents("c_acctbal").alias("mean_balance"))
 
 
 @query("join_band_binned", f"""

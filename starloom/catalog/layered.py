@@ -68,12 +68,12 @@ GROUP BY "City", "State"
 
 
 @query("mart_cities", f"""
-SELECT "City", "State", round(latitude, 4) AS latitude, round(longitude, 4) AS longitude
+SELECT "City", "State", round(latitude, 8) AS latitude, round(longitude, 8) AS longitude
 FROM ({CITIES_SQL})
 """)
 def mart_cities(spark, sf):
     cities = layers.mart_cities(demographics(spark, sf), sites(spark, sf))
-    return cities.withColumns({c: F.round(c, 4) for c in ("latitude", "longitude")})
+    return cities.withColumns({c: F.round(c, 8) for c in ("latitude", "longitude")})
 
 
 @query("mart_sites", f"""

@@ -183,23 +183,23 @@ def qf_users_by_item(spark, sf):
 
 @query("qf_ask_item_of_session", f"""
 SELECT artist, song_title, song_length FROM ({BY_SESSION_SQL})
-WHERE "sessionId" = 338 AND "itemInSession" = 4
+WHERE "sessionId" = 66 AND "itemInSession" = 4
 """)
 def qf_ask_item_of_session(spark, sf):
     """Question 1; the condition reaches the scans below the keyed insert."""
-    return questions.item_of_session(_by_session(spark, sf), 338, 4)
+    return questions.item_of_session(_by_session(spark, sf), 66, 4)
 
 
 @query("qf_ask_items_of_user_session", f"""
 SELECT "itemInSession", artist, song_title, "user" FROM ({BY_USER_SQL})
-WHERE "userId" = (SELECT o_custkey FROM orders WHERE o_orderkey = 182) AND "sessionId" = 182
+WHERE "userId" = (SELECT o_custkey FROM orders WHERE o_orderkey = 78) AND "sessionId" = 78
 """)
 def qf_ask_items_of_user_session(spark, sf):
     """Question 2: all items of one session of its user."""
-    user = table(spark, sf, "orders").filter("o_orderkey = 182").select(
+    user = table(spark, sf, "orders").filter("o_orderkey = 78").select(
         F.col("o_custkey").alias("asked")
     )
-    rows = _by_user(spark, sf).filter(F.col("sessionId") == 182)
+    rows = _by_user(spark, sf).filter(F.col("sessionId") == 78)
     found = rows.join(user, F.col("userId") == F.col("asked"), "left_semi")
     return found.orderBy("itemInSession").select("itemInSession", "artist", "song_title", "user")
 

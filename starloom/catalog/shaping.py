@@ -86,13 +86,13 @@ def flt_equality(spark, sf):
 
 @query("flt_point_lookup", """
 SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_shipdate FROM lineitem
-WHERE l_orderkey = 338 AND l_linenumber = 4
+WHERE l_orderkey = 66 AND l_linenumber = 4
 """)
 def flt_point_lookup(spark, sf):
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_shipdate"
     )
-    return point_lookup(lines, l_orderkey=338, l_linenumber=4)
+    return point_lookup(lines, l_orderkey=66, l_linenumber=4)
 
 
 @query("flt_non_blank", """
