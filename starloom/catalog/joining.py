@@ -17,7 +17,7 @@ from starloom.operators import (
     pivot_back,
 )
 from starloom.plans import star
-from starloom.sources import table
+from starloom.sources import inline_mapping, table
 
 JOINED_SQL = f"""
 SELECT song_id, c.artist_id, session_id, item, user_id, p.song, p.length
@@ -92,8 +92,8 @@ LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey =
 """)
 def join_code_lookups(spark, sf):
     """A chain of code lookups; one code is replaced, the others are kept or dropped."""
-    flags = spark.createDataFrame([("N", "none"), ("R", "returned")], "code string, label string")
-    states = spark.createDataFrame([("O", "open"), ("F", "finished")], "code string, label string")
+    flags = inline_mapping(spark, {"N": "none", "R": "returned"})
+    states = inline_mapping(spark, {"O": "open", "F": "finished"})
     nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
     lines = table(spark, sf, "lineitem").join(
         table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")

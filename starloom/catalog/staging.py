@@ -145,7 +145,7 @@ def src_wholetext(spark, sf):
     """
     root = scratch_path(spark, "wholetext")
     record = F.concat(F.col("doc_id").cast("string"), F.lit("\t"), F.col("text"))
-    write_text(table(spark, sf, "documents").select(record.alias("value")), root, RECORD, 200)
+    write_text(table(spark, sf, "documents").select(record.alias("value")), root, RECORD, 2000)
     records = read_whole_text(spark, root).select(
         F.explode(F.split("value", RECORD)).alias("record")
     ).filter("record <> ''")
@@ -189,5 +189,5 @@ def src_label_mappings(spark, sf):
         F.lit("  =  '"), F.col("c_name"), F.lit("'\n;\n/* no pairs here */\n value $I94SEGM\n 'C-"),
         key, F.lit("'\t= "), F.col("c_mktsegment"), F.lit("\n;"),
     )
-    write_text(table(spark, sf, "customer").select(paragraphs.alias("value")), root, "\n", 500)
+    write_text(table(spark, sf, "customer").select(paragraphs.alias("value")), root, "\n", 5000)
     return label_mappings(spark, root)

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.functions import timestamp_to_epoch_millis
-from starloom.sources import table
+from starloom.sources import inline_mapping, table
 
 # The page value that counts as a play in the derived log.
 PLAY = "N"
@@ -157,9 +157,6 @@ def mappings(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
     key = F.col("n_nationkey").cast("string")
 
-    def fixed(*pairs):
-        return spark.createDataFrame(list(pairs), "code string, label string")
-
     # A code that is no number must not stop the join with numeric codes.
     countries = nation.select(key.alias("code"), F.col("n_name").alias("label"))
     return {
@@ -174,8 +171,10 @@ def mappings(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
             F.concat(F.lit("R"), F.col("r_regionkey").cast("string")).alias("code"),
             F.col("r_name").alias("label"),
         ),
-        "mode": fixed(("1", "Air"), ("2", "Sea"), ("9", "Not reported")),
-        "visa": fixed(("1", "Business"), ("2", "Pleasure"), ("3", "Student")),
+        "mode": inline_mapping(spark, {"1": "Air", "2": "Sea", "9": "Not reported"}),
+        "visa": inline_mapping(
+            spark, {"1": "Business", "2": "Pleasure", "3": "Student"}
+        ),
     }
 
 

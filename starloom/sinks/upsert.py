@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.operators.aggregate import dedupe
-from starloom.session import child_dirs, path_exists
+from starloom.session import child_dirs, delete_path, path_exists
 
 _VERSION = "version="
 
@@ -23,10 +25,19 @@ def upsert(
     """Rows of both, one per key: the highest by ``order``.
 
     ``order`` must be total within a key. The result then does not depend on how
-    rows are spread or on how often a batch is applied.
+    rows are spread or on how often a batch is applied. Target rows whose key is not in
+    the batch pass through: with a batch small enough to broadcast they are not
+    shuffled, otherwise both joins share one shuffle of the target.
     """
-    rows = batch if target is None else target.unionByName(batch)
-    return dedupe(rows, keys, keep="last", order=order)
+    if target is None:
+        return dedupe(batch, keys, keep="last", order=order)
+    touched = batch.select([F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]).distinct()
+    same = reduce(
+        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)]
+    )
+    contested = target.join(touched, same, "left_semi").unionByName(batch)
+    newest = dedupe(contested, keys, keep="last", order=order)
+    return target.join(touched, same, "left_anti").unionByName(newest)
 
 
 def current_version(spark: SparkSession, root: str) -> int | None:
@@ -61,3 +72,14 @@ def upsert_into(
     if number is not None:
         target = spark.read.schema(batch.schema).parquet(version_path(root, number))
     return write_version(upsert(target, batch, keys, order), root, (number or 0) + 1)
+
+
+def prune_versions(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
+    """Delete all but the newest ``keep`` versions; readers of an older one must be done."""
+    numbers = sorted(
+        int(d[len(_VERSION):]) for d in child_dirs(spark, root) if d.startswith(_VERSION)
+    )
+    old = numbers[:-keep] if keep else numbers
+    for number in old:
+        delete_path(spark, version_path(root, number))
+    return old

@@ -14,6 +14,6 @@ from starloom.sources.files import (
     stage_json,
     table,
 )
-from starloom.sources.labels import label_mappings, label_pairs, mapping_for
+from starloom.sources.labels import inline_mapping, label_mappings, label_pairs, mapping_for
 
 __all__ = [name for name in dir() if not name.startswith("_")]

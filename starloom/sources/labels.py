@@ -7,6 +7,8 @@ given prefix.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.functions import collapse_whitespace, extract_pairs, strip_quotes
@@ -36,3 +38,13 @@ def label_mappings(spark: SparkSession, path: str, prefix: str = "i94") -> DataF
 def mapping_for(pairs: DataFrame, mapping: str) -> DataFrame:
     """One mapping as (code, label), asked for by its extracted name, any case."""
     return pairs.filter(F.lower("mapping") == mapping.lower()).select("code", "label")
+
+
+def inline_mapping(spark: SparkSession, labels: Mapping[str, str]) -> DataFrame:
+    """A short list of codes given in code, as (code, label).
+
+    Spark knows the size of this plan. A frame made from Python rows has none, and
+    Spark would shuffle a large table by the code to join it.
+    """
+    rows = [F.struct(F.lit(c).alias("code"), F.lit(v).alias("label")) for c, v in labels.items()]
+    return spark.range(1).select(F.inline(F.array(*rows)))
