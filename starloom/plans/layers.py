@@ -150,12 +150,15 @@ def mart_sites(demographics: DataFrame, sites: DataFrame) -> DataFrame:
 
 
 def mart_readings(
-    readings: DataFrame, cities: DataFrame, literal_bounds: bool = False
+    readings: DataFrame,
+    cities: DataFrame,
+    literal_bounds: bool = False,
+    west_positive: bool = True,
 ) -> DataFrame:
     """Readings of the city with the same name within the tolerance of its position.
 
-    Positions are compared in whole degrees; the city side counts west as negative.
-    ``literal_bounds`` joins the bounds by OR, which keeps every same-named city with
+    Positions are compared in whole degrees. Cities count west as negative, readings
+    as positive unless ``west_positive`` is off. ``literal_bounds`` joins the bounds by OR, which keeps every same-named city with
     a known position.
     """
     measured = readings.select(
@@ -164,10 +167,11 @@ def mart_readings(
         F.round("Latitude").alias("station_lat"),
         F.round("Longitude").alias("station_lon"),
     )
+    longitude = F.round("longitude")
     placed = cities.select(
         "City", "State",
         F.round("latitude").alias("city_lat"),
-        (-F.round("longitude")).alias("city_lon"),
+        (-longitude if west_positive else longitude).alias("city_lon"),
     )
     bands = [
         Band("station_lat", "city_lat", DEGREES, DEGREES),
