@@ -57,26 +57,14 @@ CATALOGUE_SQL = f"""
 
 
 def play_log(spark: SparkSession, sf: str, names: bool = False) -> DataFrame:
-    """Play log: a session is an order, an item is a line. ``names`` adds user names."""
-    log = (
-        table(spark, sf, "lineitem")
-        .join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    )
-    if names:
-        log = log.join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    columns = [
-        F.col("p_brand").alias("artist"),
+    """Play log: a session is an order, an item is a line. ``names`` adds user names.
+
+    Columns are derived before the joins: once per part and order, not once per line.
+    """
+    lines = table(spark, sf, "lineitem").select(
         F.col("l_linenumber").alias("itemInSession"),
-        F.col("p_retailprice").alias("length"),
-        F.col("o_orderstatus").alias("level"),
-        F.col("o_orderpriority").alias("location"),
         F.col("l_returnflag").alias("page"),
-        F.col("o_orderkey").alias("sessionId"),
-        _title().alias("song"),
-        timestamp_to_epoch_millis("o_orderdate").alias("ts"),
         F.col("l_linestatus").alias("userAgent"),
-        F.col("o_custkey").alias("userId"),
         F.col("l_shipdate").alias("loaded_at"),
         F.col("l_partkey").alias("part"),
         F.col("l_suppkey").alias("supplier"),
@@ -84,9 +72,36 @@ def play_log(spark: SparkSession, sf: str, names: bool = False) -> DataFrame:
         F.col("l_quantity").alias("quantity"),
         F.col("l_discount").alias("discount"),
         F.col("l_tax").alias("tax"),
+        "l_orderkey",
+    )
+    songs = table(spark, sf, "part").select(
+        "p_partkey",
+        F.col("p_brand").alias("artist"),
+        F.col("p_retailprice").alias("length"),
+        _title().alias("song"),
+    )
+    sessions = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("sessionId"),
+        F.col("o_orderstatus").alias("level"),
+        F.col("o_orderpriority").alias("location"),
+        timestamp_to_epoch_millis("o_orderdate").alias("ts"),
+        F.col("o_custkey").alias("userId"),
+    )
+    log = lines.join(songs, F.col("part") == F.col("p_partkey")).join(
+        sessions, F.col("l_orderkey") == F.col("sessionId")
+    )
+    columns = [
+        "artist", "itemInSession", "length", "level", "location", "page", "sessionId", "song",
+        "ts", "userAgent", "userId", *(c for c in LOG_ORDER if c not in ("page", "userAgent")),
     ]
     if names:
-        columns += [F.col("c_mktsegment").alias("firstName"), F.col("c_name").alias("lastName")]
+        users = table(spark, sf, "customer").select(
+            "c_custkey",
+            F.col("c_mktsegment").alias("firstName"),
+            F.col("c_name").alias("lastName"),
+        )
+        log = log.join(users, F.col("userId") == F.col("c_custkey"))
+        columns += ["firstName", "lastName"]
     return log.select(*columns)
 
 

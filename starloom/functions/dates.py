@@ -75,12 +75,15 @@ def day_number_to_date(days: ColumnOrName, epoch: dt.date = DAY_NUMBER_EPOCH) ->
 def parse_compact_date(text: ColumnOrName) -> Column:
     """Month, day and four-digit year without separators; anything else gives null.
 
-    A leading zero of month or day may be missing, as in common date parsers.
+    A leading zero of month or day may be missing, as in common date parsers. Only such
+    shorter texts need the pattern.
     """
     pattern = r"^(1[0-2]|0[1-9]|[1-9])(3[01]|[12]\d|0[1-9]|[1-9])(\d{4})$"
     c = _col(text)
-    part = [F.regexp_extract(c, pattern, i) for i in (1, 2, 3)]
-    return F.try_to_date(F.concat_ws("-", part[2], part[0], part[1]), "yyyy-M-d")
+    month, day, year = (F.regexp_extract(c, pattern, i) for i in (1, 2, 3))
+    short = F.try_to_date(F.concat_ws("-", year, month, day), "yyyy-M-d")
+    full = F.try_to_date(c, "MMddyyyy")
+    return F.when(F.length(c) == 8, full).when(F.length(c).between(6, 7), short)
 
 
 def parse_timestamp(text: ColumnOrName, fmt: str | None = None) -> Column:

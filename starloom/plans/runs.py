@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -20,6 +21,14 @@ from starloom.sources import (
 )
 
 
+def _together(steps: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Start the jobs of independent tables at the same time, so that none waits for the
+    last tasks of another."""
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        waiting = {name: pool.submit(step) for name, step in steps.items()}
+        return {name: future.result() for name, future in waiting.items()}
+
+
 def _report(tables: Mapping[str, DataFrame], passed: DataFrame) -> DataFrame:
     counts = reduce(DataFrame.unionByName, [
         df.agg(F.count(F.lit(1)).alias("row_count")).select(
@@ -67,15 +76,18 @@ def run_star(
         load(df, f"{database}.{name}", operation)
         return spark.table(f"{database}.{name}")
 
-    log = put(events, "staging_events")
-    metadata = put(songs, "staging_songs")
-    done = {
-        "staging_events": log,
-        "staging_songs": metadata,
-        "users": put(star.build_users(log, "last", user_order, page), "users", "truncate"),
-        "artists": put(star.build_artists(metadata), "artists"),
-        "songs": put(star.build_songs(metadata), "songs"),
-    }
+    done = _together({
+        "staging_events": lambda: put(events, "staging_events"),
+        "staging_songs": lambda: put(songs, "staging_songs"),
+    })
+    log, metadata = done["staging_events"], done["staging_songs"]
+    done |= _together({
+        "users": lambda: put(
+            star.build_users(log, "last", user_order, page), "users", "truncate"
+        ),
+        "artists": lambda: put(star.build_artists(metadata), "artists"),
+        "songs": lambda: put(star.build_songs(metadata), "songs"),
+    })
     done["songplays"] = put(star.build_fact(log, metadata, how, page), "songplays")
     done["time"] = put(star.build_time(done["songplays"]), "time")
     keyless = f"SELECT count(*) FROM {database}.users WHERE user_id IS NULL"
@@ -115,11 +127,15 @@ def run_layers(
     code_label = T.StructType([
         T.StructField("code", T.StringType()), T.StructField("label", T.StringType())
     ])
-    mappings = {}
-    for role, name in layers.MAPPINGS.items():
+
+    def mapping(name: str) -> DataFrame:
         path = f"{root}/mapping/{name.lower()}_mapping"
         write_csv(mapping_for(pairs, name), path)
-        mappings[role] = read_csv(spark, path, code_label)
+        return read_csv(spark, path, code_label)
+
+    mappings = _together({
+        role: partial(mapping, name) for role, name in layers.MAPPINGS.items()
+    })
 
     def keep(layer: str, name: str, df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         path = f"{root}/{layer}/{name}"
@@ -138,23 +154,28 @@ def run_layers(
         ),
         "airports": layers.clean_sites(read_csv(spark, airports, declared["airports"])),
     }
-    clean = {name: keep("processed", name, df) for name, df in clean.items()}
+    clean = _together({
+        name: partial(keep, "processed", name, df) for name, df in clean.items()
+    })
     people, demo, sites = clean["immigration"], clean["demographics"], clean["airports"]
 
     def present(name: str, df: DataFrame) -> DataFrame:
         return keep("presentation", name, df, layers.PARTITIONS[name])
 
-    marts = {"cities": present("cities", layers.mart_cities(demo, sites))}
-    marts["airports"] = present("airports", layers.mart_sites(demo, sites))
+    marts = _together({
+        name: partial(present, name, df)
+        for name, df in {
+            "cities": layers.mart_cities(demo, sites),
+            "airports": layers.mart_sites(demo, sites),
+            "city_demographics": layers.mart_demographics(demo),
+            "immigration_info": layers.mart_arrival_facts(people),
+            "immigrants_info": layers.mart_person_facts(people),
+            "destinations_info": layers.mart_destinations(people, demo, races=races),
+        }.items()
+    })
     marts["temperatures"] = present(
         "temperatures", layers.mart_readings(clean["temperatures"], marts["cities"])
     )
-    marts["city_demographics"] = present("city_demographics", layers.mart_demographics(demo))
-    marts["immigration_info"] = present("immigration_info", layers.mart_arrival_facts(people))
-    marts["immigrants_info"] = present("immigrants_info", layers.mart_person_facts(people))
-    marts["destinations_info"] = present(
-        "destinations_info", layers.mart_destinations(people, demo, races=races)
-    )
     return _report(marts, non_empty(marts, fail))
 
 

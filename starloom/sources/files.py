@@ -12,9 +12,15 @@ from starloom.functions import truncated
 _TOP_LEVEL = re.compile(r"^\$(?:\.([A-Za-z_][A-Za-z0-9_]*)|\['([^']+)'\])$")
 
 
+_known_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One parquet table of a data folder."""
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """One parquet table of a data folder; its schema is looked up once per process."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _known_schemas:
+        _known_schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_known_schemas[path]).parquet(path)
 
 
 def read_parquet(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None):
