@@ -213,7 +213,7 @@ def qf_ask_users_of_item(spark, sf):
 
 
 # --- the whole run -----------------------------------------------------------------------
-def _staged(log, schema, **extra):
+def _staged(log, schema):
     """The view with every column of the staging schema, in its order."""
     have = set(log.columns)
     return log.select([
@@ -247,3 +247,61 @@ def run_star(spark, sf):
         user_order=["ts", "sessionId", "itemInSession"],
         tables=runs.with_types(STAR_TABLES, **ids),
     )
+
+
+@query("run_star_first_match", f"""
+WITH log AS ({views.PLAY_LOG_SQL}), songs AS ({views.CATALOGUE_SQL})
+SELECT 'staging_events' AS table_name, count(*) AS row_count, true AS passed FROM log
+UNION ALL SELECT 'staging_songs', count(*), true FROM songs
+UNION ALL SELECT 'users', count(DISTINCT user_id), true FROM log WHERE page = 'N'
+UNION ALL SELECT 'artists', count(DISTINCT artist_id), true FROM songs
+UNION ALL SELECT 'songs', count(DISTINCT song_id), true FROM songs
+UNION ALL SELECT 'songplays', count(*), true FROM log WHERE page = 'N'
+UNION ALL SELECT 'time', count(DISTINCT start_time), true FROM log WHERE page = 'N'
+""")
+def run_star_first_match(spark, sf):
+    """The same with upserted dimensions: as many plays as the log has."""
+    root = scratch_path(spark, "star-first")
+    ids = {"userId": LONG, "sessionId": LONG, "user_id": LONG, "session_id": LONG}
+    return runs.run_star(
+        spark,
+        _staged(views.play_log(spark, sf), EVENT_LOG),
+        _staged(views.catalogue(spark, sf), SONG_METADATA),
+        database="starloom_" + root.rsplit("-", 1)[1],
+        location=root,
+        page=views.PLAY,
+        user_order=["ts", "sessionId", "itemInSession"],
+        how="first",
+        tables=runs.with_types(STAR_TABLES, **ids),
+    )
+
+
+@query("run_lake", f"""
+WITH log AS ({views.PLAY_LOG_SQL}), songs AS ({views.CATALOGUE_SQL}),
+     fact AS ({FACT_SQL.format(how="INNER", songs=views.CATALOGUE_SQL)})
+SELECT 'users' AS table_name, count(DISTINCT user_id) AS row_count, true AS passed FROM log
+  WHERE page = 'N'
+UNION ALL SELECT 'artists', count(DISTINCT artist_id), true FROM songs
+UNION ALL SELECT 'songs', count(DISTINCT song_id), true FROM songs
+UNION ALL SELECT 'songplays', count(*), true FROM fact
+UNION ALL SELECT 'time', count(*), true FROM log WHERE page = 'N'
+""")
+def run_lake(spark, sf):
+    """The star schema as partitioned folders."""
+    log = views.play_log(spark, sf, names=True).withColumn("gender", F.lit(None).cast("string"))
+    return runs.run_lake(
+        spark, log, views.catalogue(spark, sf), scratch_path(spark, "lake"), views.PLAY,
+        ["ts", "sessionId", "itemInSession"],
+    )
+
+
+@query("run_questions", f"""
+SELECT 'songs_by_session' AS table_name, count(*) AS row_count, true AS passed
+FROM ({BY_SESSION_SQL})
+UNION ALL SELECT 'artist_song_by_user', count(*), true FROM ({BY_USER_SQL})
+UNION ALL SELECT 'users_by_song', count(*), true FROM ({BY_SONG_SQL})
+""")
+def run_questions(spark, sf):
+    """Flat file, then one stored table per question."""
+    log = views.play_log(spark, sf, names=True).withColumn("gender", F.lit(None).cast("string"))
+    return runs.run_questions(spark, log, scratch_path(spark, "questions"), views.LOG_ORDER)

@@ -9,9 +9,9 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from starloom import schemas
-from starloom.operators import non_empty, threshold_checks
-from starloom.plans import layers, star
-from starloom.sinks import load, reset_tables, write_csv, write_parquet
+from starloom.operators import drop_blank, non_empty, threshold_checks
+from starloom.plans import layers, questions, star
+from starloom.sinks import cluster, load, reset_tables, write_csv, write_parquet
 from starloom.sources import (
     label_mappings,
     mapping_for,
@@ -68,6 +68,9 @@ def run_star(
     ``events`` and ``songs`` have the staging columns in the declared order. The
     tables live in ``database`` below ``location``, a folder all executors share.
     ``user_order`` must be total within a user for the result to be repeatable.
+
+    ``how`` is ``left`` or ``inner`` for a join with the staged songs, or ``first`` for
+    one row per play, looked up in dimensions that hold one row per key.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
     reset_tables(spark, tables, database)
@@ -81,14 +84,19 @@ def run_star(
         "staging_songs": lambda: put(songs, "staging_songs"),
     })
     log, metadata = done["staging_events"], done["staging_songs"]
+    keep = "last" if how == "first" else "distinct"
     done |= _together({
         "users": lambda: put(
             star.build_users(log, "last", user_order, page), "users", "truncate"
         ),
-        "artists": lambda: put(star.build_artists(metadata), "artists"),
-        "songs": lambda: put(star.build_songs(metadata), "songs"),
+        "artists": lambda: put(star.build_artists(metadata, keep), "artists"),
+        "songs": lambda: put(star.build_songs(metadata, keep), "songs"),
     })
-    done["songplays"] = put(star.build_fact(log, metadata, how, page), "songplays")
+    if how == "first":
+        fact = star.build_fact_first_match(log, done["songs"], done["artists"], page)
+    else:
+        fact = star.build_fact(log, metadata, how, page)
+    done["songplays"] = put(fact, "songplays")
     done["time"] = put(star.build_time(done["songplays"]), "time")
     keyless = f"SELECT count(*) FROM {database}.users WHERE user_id IS NULL"
     threshold_checks(spark, [
@@ -99,6 +107,75 @@ def run_star(
     return _report(done, non_empty(done, fail))
 
 
+def run_lake(
+    spark: SparkSession,
+    events: DataFrame,
+    songs: DataFrame,
+    root: str,
+    page: str = star.PLAY_PAGE,
+    user_order: Sequence[str] = ("ts",),
+    key: str = "md5",
+    songs_by: Sequence[str] = ("year", "artist_id"),
+    fail: bool = True,
+) -> DataFrame:
+    """The star schema as partitioned parquet folders below ``root``.
+
+    Songs are stored by year and artist unless ``songs_by`` names fewer columns (with
+    millions of artists a folder for each is too many), times and plays by year and
+    month. Users and artists have one row each; only plays with a known song are kept, with their
+    start to the millisecond.
+    """
+    log = star.plays(events, page)
+    starts = log.select(star.start_time("millisecond").alias("start_time"))
+    tables = {
+        "songs": (star.build_songs(songs), songs_by),
+        "artists": (star.build_artists(songs, "first"), []),
+        "users": (star.build_users(log, "last", user_order, page), []),
+        "time": (
+            star.build_time(starts, weekday_style="sunday1", unique=False), ["year", "month"]
+        ),
+        "songplays": (
+            star.with_month(star.build_fact(log, songs, "inner", page, key, "millisecond")),
+            ["year", "month"],
+        ),
+    }
+
+    def store(name: str) -> DataFrame:
+        df, by = tables[name]
+        write_parquet(df, f"{root}/{name}", by)
+        return read_parquet(spark, f"{root}/{name}", df.schema)
+
+    done = _together({name: partial(store, name) for name in tables})
+    return _report(done, non_empty(done, fail))
+
+
+def run_questions(
+    spark: SparkSession, log: DataFrame, root: str, order: Sequence[str], fail: bool = True
+) -> DataFrame:
+    """Flat quoted CSV of the log, then one stored table per question.
+
+    Each table is clustered by its key, so that a question reads few row groups. The
+    columns of ``order`` travel through the flat file beside the kept fields.
+    """
+    kept = drop_blank(log, "artist").select(
+        *questions.KEPT_NAMES, *[c for c in order if c not in questions.KEPT_NAMES]
+    )
+    write_csv(kept, f"{root}/flat", quote_all=True)
+    flat = read_csv(spark, f"{root}/flat", kept.schema, ignoreLeadingWhiteSpace=True)
+    built = {
+        "songs_by_session": questions.songs_by_session(flat, order),
+        "artist_song_by_user": questions.artist_song_by_user(flat, order),
+        "users_by_song": questions.users_by_song(flat),
+    }
+
+    def store(name: str) -> DataFrame:
+        write_parquet(cluster(built[name], schemas.PRIMARY_KEYS[name]), f"{root}/{name}")
+        return read_parquet(spark, f"{root}/{name}", built[name].schema)
+
+    done = _together({name: partial(store, name) for name in built})
+    return _report(done, non_empty(done, fail))
+
+
 def run_layers(
     spark: SparkSession,
     root: str,

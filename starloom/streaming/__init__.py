@@ -1,3 +1,8 @@
-from starloom.streaming.incremental import FileFeed, incremental_upsert
+from starloom.streaming.incremental import (
+    FileFeed,
+    incremental_upsert,
+    merge_batches,
+    prune_batches,
+)
 
-__all__ = ["FileFeed", "incremental_upsert"]
+__all__ = ["FileFeed", "incremental_upsert", "merge_batches", "prune_batches"]

@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from starloom.operators.aggregate import dedupe
-from starloom.session import child_dirs
+from starloom.session import child_dirs, delete_path
 from starloom.sinks.upsert import current_version, upsert, version_path, write_version
 
 _BATCH = "batch="
@@ -83,5 +83,15 @@ def merge_batches(
     return write_version(upsert(base, changes, keys, order), target, max(fresh))
 
 
+def prune_batches(spark: SparkSession, target: str) -> list[int]:
+    """Delete stored batches that the current version already holds."""
+    done = current_version(spark, target)
+    stored = [int(d[len(_BATCH):]) for d in child_dirs(spark, f"{target}/batches")]
+    merged = [n for n in stored if done is not None and n <= done]
+    for number in merged:
+        delete_path(spark, _batch_path(target, number))
+    return merged
+
+
 def _batch_path(target: str, number: int) -> str:
     return f"{target}/batches/{_BATCH}{number:012d}"

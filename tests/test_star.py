@@ -120,6 +120,28 @@ def test_run(spark, staged, rows):
     assert duplicate_keys(spark.table("test_star.songplays"), ["songplay_id"]).count() == 1
 
 
+def test_first_match_run(spark, staged):
+    events, songs = staged
+    report = runs.run_star(
+        spark, events, songs, "test_first", scratch_path(spark, "first"), how="first"
+    )
+    counts = {r["table_name"]: r["row_count"] for r in report.collect()}
+    assert (counts["artists"], counts["songs"], counts["songplays"]) == (2, 4, 4)
+
+
+def test_lake(spark, staged, rows):
+    events, songs = staged
+    root = scratch_path(spark, "lake")
+    report = runs.run_lake(spark, events, songs, root)
+    assert {r["table_name"]: r["row_count"] for r in report.collect()} == {
+        "songs": 4, "artists": 2, "users": 2, "time": 4, "songplays": 3
+    }
+    stored = spark.read.parquet(f"{root}/songplays")
+    assert rows(stored, "year", "month", "song_id") == [
+        (2018, 11, "S1"), (2018, 11, "S3"), (2018, 11, "S4")
+    ]
+
+
 def test_run_raises_on_keyless_users(spark, staged):
     events, songs = staged
     with pytest.raises(CheckFailed):

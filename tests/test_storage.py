@@ -20,7 +20,7 @@ from starloom.sinks import (
     write_parquet,
 )
 from starloom.sources import read_csv, read_parquet
-from starloom.streaming import FileFeed, incremental_upsert
+from starloom.streaming import FileFeed, incremental_upsert, prune_batches
 
 USERS = "user_id int, level string, ts int"
 
@@ -70,6 +70,11 @@ def test_incremental_upsert(spark, rows):
     # Arrives late and is older: must not win. The other one is newer.
     arrive((1, "free", 3), (2, "paid", 9), (3, "free", 1))
     assert run() == [(1, "paid", 4), (2, "paid", 9), (3, "free", 1)]
+    # Cleaning up what is merged changes nothing for the next run.
+    assert prune_batches(spark, target) == [0, 1, 2]
+    assert len(prune_versions(spark, target, keep=1)) == 1
+    arrive((3, "paid", 2))
+    assert run() == [(1, "paid", 4), (2, "paid", 9), (3, "paid", 2)]
 
 
 def test_load_policies(spark, rows):
