@@ -6,6 +6,7 @@ from starloom.catalog import views
 from starloom.catalog.aggregates import TABLES
 from starloom.catalog.registry import query
 from starloom.operators import (
+    declared_violations,
     duplicate_keys,
     length_overflow,
     non_empty,
@@ -87,6 +88,33 @@ def dq_orphans(spark, sf):
     return lost.select("l_orderkey", "l_linenumber", "l_partkey")
 
 
+@query("dq_declared_keys", """
+SELECT 'orders' AS table_name, 'not null o_orderkey' AS rule, count(*) AS violations
+FROM orders WHERE o_orderkey IS NULL
+UNION ALL SELECT 'orders', 'unique o_orderkey', count(*) FROM (
+  SELECT o_orderkey FROM orders GROUP BY o_orderkey HAVING count(*) > 1)
+UNION ALL SELECT 'lineitem', 'not null l_orderkey, l_linenumber', count(*)
+FROM lineitem WHERE l_orderkey IS NULL OR l_linenumber IS NULL
+UNION ALL SELECT 'lineitem', 'unique l_orderkey, l_linenumber', count(*) FROM (
+  SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
+UNION ALL SELECT 'orders', 'o_custkey in supplier', count(*) FROM orders
+WHERE o_custkey NOT IN (SELECT s_suppkey FROM supplier)
+UNION ALL SELECT 'lineitem', 'l_orderkey in orders', count(*) FROM lineitem
+WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
+""")
+def dq_declared_keys(spark, sf):
+    """Keys that Spark does not enforce, counted; some hold, some do not."""
+    tables = {name: table(spark, sf, name) for name in ("orders", "lineitem", "supplier")}
+    return declared_violations(
+        tables,
+        {"orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber"]},
+        [
+            ("orders", "o_custkey", "supplier", "s_suppkey"),
+            ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+        ],
+    )
+
+
 @query("dq_length_overflow", """
 SELECT 'text' AS column_name, CAST(255 AS BIGINT) AS width,
        count(*) FILTER (length(text) > 255) AS too_long, max(length(text)) AS longest

@@ -23,6 +23,7 @@ from starloom.operators.joins import (
 )
 from starloom.operators.quality import (
     CheckFailed,
+    declared_violations,
     duplicate_keys,
     length_overflow,
     non_empty,

@@ -78,6 +78,38 @@ def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
     return keyed.join(known, keyed[child_key] == known["_parent"], "left_anti")
 
 
+def declared_violations(
+    tables: Mapping[str, DataFrame],
+    primary: Mapping[str, Sequence[str]],
+    foreign: Iterable[tuple[str, str, str, str]] = (),
+) -> DataFrame:
+    """Rows that break declared keys: (table_name, rule, violations), one row per rule.
+
+    ``primary`` maps a table to its key; null in it and repeated values both count.
+    ``foreign`` lists (child, child column, parent, parent column). Rules on tables that
+    are not given are left out.
+    """
+    def counted(df: DataFrame, name: str, rule: str) -> DataFrame:
+        total = df.agg(F.count(F.lit(1)).alias("violations"))
+        return total.select(
+            F.lit(name).alias("table_name"), F.lit(rule).alias("rule"), "violations"
+        )
+
+    parts = []
+    for name, keys in primary.items():
+        if name in tables:
+            missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+            label = ", ".join(keys)
+            parts.append(counted(tables[name].filter(missing), name, f"not null {label}"))
+            whole = tables[name].filter(~missing)
+            parts.append(counted(duplicate_keys(whole, keys), name, f"unique {label}"))
+    for child, child_key, parent, parent_key in foreign:
+        if child in tables and parent in tables:
+            lost = orphans(tables[child], child_key, tables[parent], parent_key)
+            parts.append(counted(lost, child, f"{child_key} in {parent}"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def length_overflow(df: DataFrame, widths: Mapping[str, int]) -> DataFrame:
     """Per column: values longer than the declared width, and the longest length."""
     names = list(widths)

@@ -90,6 +90,11 @@ def test_load_policies(spark, rows):
         load_path(frame, root, declared, "replace")
     with pytest.raises(ValueError):
         conform_positions(frame, struct(id=LONG))
+    # A column list fills those columns and leaves the others without a value.
+    wide = struct(extra=STRING, level=STRING, id=LONG)
+    assert rows(conform_positions(frame, wide, ["id", "level"])) == [(None, "free", 1)]
+    with pytest.raises(ValueError):
+        conform_positions(frame, wide, ["id", "nothing"])
 
 
 def test_tables(spark, rows):
