@@ -21,19 +21,28 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _after_epoch(seconds: Column) -> Column:
+    """Zoneless arithmetic: the time zone of the session plays no part."""
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+
+
 def epoch_millis_to_timestamp(ms: ColumnOrName) -> Column:
     """Epoch milliseconds to a timestamp, milliseconds kept."""
-    return F.timestamp_millis(_col(ms).cast("bigint")).cast("timestamp_ntz")
+    return _after_epoch((_col(ms).cast("bigint").cast("decimal(18,3)") / 1000).cast("decimal(18,6)"))
 
 
 def epoch_millis_to_second(ms: ColumnOrName) -> Column:
     """Epoch milliseconds to a timestamp cut to whole seconds (integer division)."""
     seconds = F.call_function("div", _col(ms).cast("bigint"), F.lit(1000))
-    return F.timestamp_seconds(seconds).cast("timestamp_ntz")
+    return _after_epoch(seconds.cast("decimal(18,6)"))
 
 
 def timestamp_to_epoch_millis(ts: ColumnOrName) -> Column:
-    return F.unix_millis(_col(ts).cast("timestamp"))
+    """Milliseconds from the epoch to a zoneless timestamp; smaller parts are cut."""
+    c = _col(ts)
+    days = F.unix_date(c.cast("date")).cast("bigint")
+    minutes = (days * 24 + F.hour(c)) * 60 + F.minute(c)
+    return minutes * 60_000 + (F.date_part(F.lit("SECOND"), c) * 1000).cast("bigint")
 
 
 def weekday(ts: ColumnOrName, style: str = "monday0") -> Column:

@@ -26,6 +26,27 @@ def test_epoch_from_scientific_notation(spark):
     assert one(spark, fn.epoch_millis_to_second("x"), x=1.54e12) == dt.datetime(2018, 10, 20, 1, 46, 40)
 
 
+def test_session_zone_plays_no_part(spark):
+    # 02:30 does not exist in this zone on that day, 01:30 in November exists twice.
+    moments = [dt.datetime(2024, 3, 10, 2, 30, 0, 123456), dt.datetime(2024, 11, 3, 1, 30),
+               dt.datetime(1969, 12, 31, 23, 59, 59, 999000)]
+    frame = spark.createDataFrame([(m,) for m in moments], "t timestamp_ntz")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = frame.select(fn.timestamp_to_epoch_millis("t").alias("ms"), "t").select(
+            "ms", fn.epoch_millis_to_timestamp("ms"), fn.epoch_millis_to_second("ms"),
+            fn.fact_key(F.lit(1), "t"),
+        ).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    epoch = dt.datetime(1970, 1, 1)
+    cut = [m.replace(microsecond=m.microsecond // 1000 * 1000) for m in moments]
+    assert [r[0] for r in got] == [(m - epoch) // dt.timedelta(milliseconds=1) for m in moments]
+    assert [r[1] for r in got] == cut
+    assert [r[2] for r in got[:2]] == [m.replace(microsecond=0) for m in cut[:2]]
+
+
 def test_calendar_and_weekdays(spark):
     sunday = dt.datetime(2018, 11, 4, 23, 5)
     frame = spark.createDataFrame([(sunday,)], "t timestamp_ntz")
