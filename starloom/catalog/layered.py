@@ -9,7 +9,6 @@ from starloom.catalog.registry import query
 from starloom.plans import layers, runs
 from starloom.session import scratch_path
 from starloom.sinks import write_csv, write_parquet, write_text
-from starloom.sources import table
 
 DEMOGRAPHIC_COLUMNS = (
     '"City", "State", male_population, female_population, median_age, total_population, '

@@ -28,9 +28,7 @@ from starloom.functions import (
     weekday,
 )
 from starloom.operators import dense_id
-from starloom.schemas import LONG, struct
 from starloom.sources import table
-from starloom.sources.files import pick_json_paths
 
 
 def _events(spark, sf):

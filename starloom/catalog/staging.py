@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import functions as F
 
-from starloom.catalog import views
 from starloom.catalog.registry import query
 from starloom.functions import timestamp_to_epoch_millis
-from starloom.schemas import DOUBLE, INT, LONG, STRING, TIMESTAMP, WHOLE_18, struct
+from starloom.schemas import DOUBLE, INT, LONG, STRING, WHOLE_18, struct
 from starloom.session import scratch_path
-from starloom.sinks import write_csv, write_parquet, write_text
+from starloom.sinks import write_csv, write_text
 from starloom.sources import (
     conform_types,
     label_mappings,
@@ -19,7 +18,6 @@ from starloom.sources import (
     read_landing,
     read_parquet,
     read_whole_text,
-    select_positions,
     stage_json,
     table,
 )

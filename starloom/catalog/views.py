@@ -146,7 +146,7 @@ USER_LOG_SQL = """
 
 
 def artist_staging(spark: SparkSession, sf: str) -> DataFrame:
-    """Artist columns of song metadata: one row per supplier and part size class."""
+    """Artist columns of song metadata: one row per supplier."""
     supplier = table(spark, sf, "supplier")
     nation = table(spark, sf, "nation")
     return supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(

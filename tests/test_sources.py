@@ -2,10 +2,7 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
-
-from starloom import schemas
-from starloom.schemas import DOUBLE, INT, LONG, STRING, WHOLE_18, struct
+from starloom.schemas import INT, LONG, STRING, WHOLE_18, struct
 from starloom.sources import (
     conform_types,
     label_pairs,
@@ -16,7 +13,6 @@ from starloom.sources import (
     read_whole_text,
     stage_json,
 )
-from starloom.sources.files import pick_json_paths
 
 
 def put(folder, name, text):
