@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from starloom.llm.jaccard_join import op10_ngram_jaccard_join
+from starloom.llm.repeated_text import op7_suffix_array_dedup
 
 QUERIES = {
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 SQL: dict[str, str] = {}
