@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from starloom.llm.jaccard_join import op10_ngram_jaccard_join
+from starloom.llm.packing import op2_packing
 from starloom.llm.repeated_text import op7_suffix_array_dedup
 
 QUERIES = {
+    "op2_packing": op2_packing,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
