@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 from starloom.llm.jaccard_join import op10_ngram_jaccard_join
+from starloom.llm.mixing import OP5_SQL, op5_mixing
 from starloom.llm.packing import op2_packing
+from starloom.llm.pseudonyms import op3_pii
 from starloom.llm.repeated_text import op7_suffix_array_dedup
 
 QUERIES = {
     "op2_packing": op2_packing,
+    "op3_pii": op3_pii,
+    "op5_mixing": op5_mixing,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op5_mixing": OP5_SQL,
+}
