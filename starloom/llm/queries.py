@@ -6,9 +6,11 @@ from starloom.llm.jaccard_join import op10_ngram_jaccard_join
 from starloom.llm.mixing import OP5_SQL, op5_mixing
 from starloom.llm.packing import op2_packing
 from starloom.llm.pseudonyms import op3_pii
+from starloom.llm.quality import OP1_SQL, op1_quality_rules
 from starloom.llm.repeated_text import op7_suffix_array_dedup
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
     "op3_pii": op3_pii,
     "op5_mixing": op5_mixing,
@@ -16,5 +18,6 @@ QUERIES = {
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 SQL: dict[str, str] = {
+    "op1_quality_rules": OP1_SQL,
     "op5_mixing": OP5_SQL,
 }
