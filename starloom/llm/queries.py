@@ -8,12 +8,14 @@ from starloom.llm.packing import op2_packing
 from starloom.llm.pseudonyms import op3_pii
 from starloom.llm.quality import OP1_SQL, op1_quality_rules
 from starloom.llm.repeated_text import op7_suffix_array_dedup
+from starloom.llm.token_counts import op6_token_counts
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
     "op3_pii": op3_pii,
     "op5_mixing": op5_mixing,
+    "op6_token_counts": op6_token_counts,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
