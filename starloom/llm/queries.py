@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from starloom.llm.jaccard_join import op10_ngram_jaccard_join
+from starloom.llm.language_model import op8_lm_scoring
 from starloom.llm.mixing import OP5_SQL, op5_mixing
 from starloom.llm.packing import op2_packing
 from starloom.llm.pseudonyms import op3_pii
@@ -17,6 +18,7 @@ QUERIES = {
     "op5_mixing": op5_mixing,
     "op6_token_counts": op6_token_counts,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
+    "op8_lm_scoring": op8_lm_scoring,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 SQL: dict[str, str] = {
