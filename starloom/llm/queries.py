@@ -10,11 +10,13 @@ from starloom.llm.pseudonyms import op3_pii
 from starloom.llm.quality import OP1_SQL, op1_quality_rules
 from starloom.llm.repeated_text import op7_suffix_array_dedup
 from starloom.llm.token_counts import op6_token_counts
+from starloom.llm.vector_dedup import OP4_SQL, op4_embedding_near_dedup
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
     "op3_pii": op3_pii,
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_mixing": op5_mixing,
     "op6_token_counts": op6_token_counts,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
@@ -23,5 +25,6 @@ QUERIES = {
 }
 SQL: dict[str, str] = {
     "op1_quality_rules": OP1_SQL,
+    "op4_embedding_near_dedup": OP4_SQL,
     "op5_mixing": OP5_SQL,
 }
