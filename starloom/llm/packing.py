@@ -23,7 +23,7 @@ from starloom.llm import common as c
 WINDOW = 2048
 OPEN = 64  # windows that a task keeps open
 WASTE = 16  # tokens of padding that a window may be emitted with
-MERGED = 64  # so many times OPEN leftover pieces are merged by one task
+MERGED = 16  # the leftovers of so many tasks are merged by one
 PIECE = "_row long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids array<int>"
 NAMES = ["_row", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
 NO_SEQUENCE = -1
@@ -208,7 +208,7 @@ def pack(docs: DataFrame, text_col: str = "text", files: tuple[str, str, str] |
     ``with_row``). ``files`` are a tokenizer's, as in ``Tokens``.
 
     Memory of a task: OPEN windows, one text and a million tokens of output. Leftovers are merged in
-    rounds, OPEN * MERGED pieces a task, until one task can take what is left.
+    rounds, those of MERGED tasks by one, until one task can take what is left.
     """
     rows = c.with_row(docs.select(F.col(text_col).alias("text"))).select("_row", "text")
     found = c.stored(rows.mapInArrow(_tokenised(files or tokenizer_files(), end_id), PIECE), "pack-first")
@@ -216,10 +216,11 @@ def pack(docs: DataFrame, text_col: str = "text", files: tuple[str, str, str] |
     while not last:
         tables.append(found.where(F.col("sequence_id") != NO_SEQUENCE))
         rest = found.where(F.col("sequence_id") == NO_SEQUENCE)
-        parts = -(-rest.count() // (OPEN * MERGED))
+        tokens = rest.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first()["n"]
+        parts = -(-tokens // (MERGED * OPEN * WINDOW))
         merges, last = merges + 1, parts <= 1
-        dealt = rest.coalesce(1) if last else rest.repartition(parts, F.xxhash64("_row", "start"))
-        found = c.stored(dealt.mapInArrow(_merged(merges, last), PIECE), "pack-merged")
+        # whole leftovers of tasks go together; each round leaves OPEN windows a task at most
+        found = c.stored(rest.coalesce(max(1, parts)).mapInArrow(_merged(merges, last), PIECE), "pack-merged")
     tables.append(found)
     out = tables[0]
     for table in tables[1:]:
