@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from starloom.llm.jaccard_join import op10_ngram_jaccard_join
 from starloom.llm.language_model import op8_lm_scoring
 from starloom.llm.mixing import OP5_SQL, op5_mixing
 from starloom.llm.packing import op2_packing
+from starloom.llm.passage_dedup import op9_substring_dedup
 from starloom.llm.pseudonyms import op3_pii
 from starloom.llm.quality import OP1_SQL, op1_quality_rules
 from starloom.llm.repeated_text import op7_suffix_array_dedup
@@ -21,10 +23,15 @@ QUERIES = {
     "op6_token_counts": op6_token_counts,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_lm_scoring": op8_lm_scoring,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
+QUERIES["pipeline"] = corpus_pipeline.run
+
 SQL: dict[str, str] = {
     "op1_quality_rules": OP1_SQL,
     "op4_embedding_near_dedup": OP4_SQL,
     "op5_mixing": OP5_SQL,
 }
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
