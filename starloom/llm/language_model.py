@@ -23,18 +23,18 @@ from pyspark.sql import functions as F
 
 from starloom.llm import common as c
 
-CLASSES = 64
-OWN_CLASS = 31  # frequent words that are a class of their own
+CLASSES = 32
+OWN_CLASS = 15  # frequent words that are a class of their own
 SUFFIX_FIRST = 1 + OWN_CLASS
 WORD_BITS, PAIR_BITS, SKIP_BITS = 14, 14, 13
 FIRST_ROW = np.cumsum([0, 1 << WORD_BITS, 1 << PAIR_BITS, 1 << SKIP_BITS, CLASSES * CLASSES])
 ROWS = int(FIRST_ROW[-1])
 BLOCK = 64  # rows of weights that travel together
-KNOWN = 1 << 18  # most frequent training words whose counts every task holds; the rest are joined
+KNOWN = 1 << 17  # at most so many frequent training words whose counts every task holds; the rest are joined
 SMOOTH = 0.1
 ROUNDS = 3
 STEP = 16_384  # tokens of one gradient step
-RATE = 1.0
+RATE = 0.5
 CODES = c.byte_codes(808)
 END = np.uint64(0xE0D)
 
@@ -83,7 +83,7 @@ class Tokens:
     end_at: np.ndarray
 
     def features(self) -> np.ndarray:
-        """Rows of weights of each token's history, one column per feature."""
+        """Rows of weights of each token's history, one line per feature."""
         before = np.append(END, self.hashed[:-1])
         before2 = np.append(END, before[:-1])
         class1 = np.append(0, self.classes[:-1])
@@ -94,7 +94,7 @@ class Tokens:
         columns = [
             cut(c.mix(before + np.uint64(1)), WORD_BITS), cut(c.mix(before + c.mix(before2 + np.uint64(2))), PAIR_BITS),
             cut(c.mix(before2 + np.uint64(3)), SKIP_BITS), class1 * CLASSES + class2]
-        return np.stack([x + at for x, at in zip(columns, FIRST_ROW, strict=False)], axis=1)
+        return np.stack([x + at for x, at in zip(columns, FIRST_ROW, strict=False)])
 
 
 def tokens_of(data: np.ndarray, offsets: np.ndarray, vocabulary: Vocabulary, pw: c.Powers) -> Tokens:
@@ -117,9 +117,10 @@ def tokens_of(data: np.ndarray, offsets: np.ndarray, vocabulary: Vocabulary, pw:
 
 
 def class_logits(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    out = weights[rows[:, 0]]
-    for i in range(1, rows.shape[1]):
-        out += weights[rows[:, i]]
+    out = np.take(weights, rows[0], axis=0)
+    other = np.empty_like(out)
+    for row in rows[1:]:
+        out += np.take(weights, row, axis=0, out=other, mode="clip")
     out += bias
     out -= out.max(axis=1, keepdims=True)
     return out
@@ -135,13 +136,13 @@ class Trainer:
 
     def step(self, rows: np.ndarray, classes: np.ndarray) -> None:
         gradient = np.exp(class_logits(self.weights, self.bias, rows))
-        gradient /= gradient.sum(axis=1, keepdims=True)
+        gradient /= np.einsum("ij->i", gradient)[:, None]
         gradient[np.arange(len(classes)), classes] -= 1
-        for i in range(rows.shape[1]):
-            order = np.argsort(rows[:, i].astype(np.uint16), kind="stable")
-            row = rows[order, i]
+        for place in rows:
+            order = np.argsort(place.astype(np.uint16), kind="stable")
+            row = place[order]
             first = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-            total = np.add.reduceat(gradient[order], first, axis=0)
+            total = np.add.reduceat(np.take(gradient, order, axis=0), first, axis=0)
             row = row[first]
             self.squares[row] += np.einsum("ij,ij->i", total, total)
             total *= (RATE / np.sqrt(self.squares[row]))[:, None]
@@ -181,8 +182,8 @@ def _trained(weights, vocabulary: Vocabulary):
             for _, data, offsets in _lowered(batch.column(0)):
                 tokens = tokens_of(data, offsets, vocabulary, pw)
                 rows = tokens.features()
-                for at in range(0, len(rows), STEP):
-                    trainer.step(rows[at: at + STEP], tokens.classes[at: at + STEP])
+                for at in range(0, rows.shape[1], STEP):
+                    trainer.step(rows[:, at: at + STEP], tokens.classes[at: at + STEP])
         change = (trainer.weights - start).astype(np.float16)
         salt = TaskContext.get().partitionId() % 64
         blocks = [b for b in range(ROWS // BLOCK) if trainer.seen[b * BLOCK: (b + 1) * BLOCK].any()]
@@ -235,8 +236,10 @@ def train(texts: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
         changes = changes.repartition("block", "salt").sortWithinPartitions("block", "salt").mapInArrow(_averaged, CHANGES)
         changes = changes.withColumn("salt", F.lit(0)).repartition("block").sortWithinPartitions("block").mapInArrow(_averaged, CHANGES)
         weights = weights.copy()
-        for row in c.stored(changes, "lm-weights").select("block", "change").collect():
-            weights[row["block"] * BLOCK: (row["block"] + 1) * BLOCK] += np.frombuffer(row["change"], np.float16).reshape(BLOCK, CLASSES)
+        changed = c.stored(changes, "lm-weights").select("block", "change").toArrow()
+        for block, change in zip(changed["block"].to_pylist(), changed["change"].to_pylist(), strict=True):
+            weights[block * BLOCK: (block + 1) * BLOCK] += np.frombuffer(change, np.float16).reshape(BLOCK, CLASSES)
+        held.unpersist()
     return weights
 
 
@@ -246,10 +249,31 @@ def count_words(texts: DataFrame) -> DataFrame:
     return c.stored(counts.groupBy("token").agg(F.sum("n").alias("n")), "lm-words")
 
 
+def _frequent(words: DataFrame, bound: int) -> pa.Table:
+    """The (token, n) rows of the most frequent words, at most ``bound``, the most frequent first.
+
+    The least count is read from a histogram with 64 bins per doubling, so what reaches the driver
+    is bounded by the histogram and ``bound`` rows, whatever the vocabulary holds.
+    """
+    binned = F.floor(F.log2("n") * 64).cast("long")
+    least = None
+    total = 0
+    for row in words.groupBy(binned.alias("bin")).count().orderBy(F.desc("bin")).collect():
+        total += row["count"]
+        if total > bound:
+            break
+        least = row["bin"]
+    if least is None:
+        return pa.table({"token": pa.array([], pa.binary()), "n": pa.array([], pa.int64())})
+    found = words.where(binned >= least).select("token", "n").toArrow()
+    return found.sort_by([("n", "descending"), ("token", "ascending")])
+
+
 def vocabulary_of(words: DataFrame, ends: int) -> Vocabulary:
-    top = words.orderBy(F.desc("n"), "token").limit(KNOWN).collect()
-    hashed = hashes_of([bytes(r["token"]) for r in top])
-    counts = np.array([r["n"] for r in top], np.int64)
+    top = _frequent(words, KNOWN)
+    tokens = top["token"].to_pylist()
+    hashed = hashes_of(tokens)
+    counts = top["n"].to_numpy().astype(np.int64)
     order = np.argsort(hashed)
     own = hashed[:OWN_CLASS]
     own_order = np.argsort(own)
@@ -257,12 +281,13 @@ def vocabulary_of(words: DataFrame, ends: int) -> Vocabulary:
     mass[0] = ends + SMOOTH
     mass[1: 1 + len(own)] = counts[:OWN_CLASS] + SMOOTH
     # the other words by their last two bytes: at most 65,792 groups
-    rest = words.join(F.broadcast(words.sparkSession.createDataFrame([(r["token"],) for r in top[:OWN_CLASS]], "token binary")), "token", "left_anti")
-    groups = rest.groupBy(F.substring("token", -2, 2).alias("tail")).agg(F.sum("n").alias("n"), F.count("*").alias("types")).collect()
-    tails = [bytes(2 - len(r["tail"])) + bytes(r["tail"]) for r in groups]
+    apart = words.sparkSession.createDataFrame([(bytearray(t),) for t in tokens[:OWN_CLASS]], "token binary")
+    rest = words.join(F.broadcast(apart), "token", "left_anti")
+    groups = rest.groupBy(F.substring("token", -2, 2).alias("tail")).agg(F.sum("n").alias("n"), F.count("*").alias("types")).toArrow()
+    tails = [t.rjust(2, b"\0") for t in groups["tail"].to_pylist()]
     if tails:
         kinds = suffix_class(np.array([t[0] for t in tails], np.uint8), np.array([t[1] for t in tails], np.uint8))
-        np.add.at(mass, kinds, [r["n"] + SMOOTH * r["types"] for r in groups])
+        np.add.at(mass, kinds, groups["n"].to_numpy() + SMOOTH * groups["types"].to_numpy())
     mass[SUFFIX_FIRST:] += SMOOTH  # an unseen word of the class
     mass[mass == 0] = SMOOTH  # classes of too small a vocabulary
     totals = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("types")).first()
@@ -279,9 +304,9 @@ def _scored(weights, vocabulary: Vocabulary):
                 docs = len(offsets) - 1
                 tokens = tokens_of(data, offsets, vocabulary, pw)
                 rows, gain = tokens.features(), np.empty(len(tokens.doc))
-                for at in range(0, len(rows), STEP):
-                    logits, kinds = class_logits(weights.value, bias, rows[at: at + STEP]), tokens.classes[at: at + STEP]
-                    gain[at: at + STEP] = (logits[np.arange(len(kinds)), kinds] - np.log(np.exp(logits).sum(axis=1))) / np.log(10)
+                for at in range(0, rows.shape[1], STEP):
+                    logits, kinds = class_logits(weights.value, bias, rows[:, at: at + STEP]), tokens.classes[at: at + STEP]
+                    gain[at: at + STEP] = (logits[np.arange(len(kinds)), kinds] - np.log(np.einsum("ij->i", np.exp(logits)))) / np.log(10)
                 gain -= log_mass[tokens.classes]
                 words = tokens.hashed[tokens.word_at]
                 doc = tokens.doc[tokens.word_at]
