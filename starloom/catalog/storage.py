@@ -124,10 +124,18 @@ FROM (SELECT *, row_number() OVER (
       FROM lineitem) WHERE r = 1
 """)
 def upsert_composite_key(spark, sf):
-    """Keyed insert with silent overwrite on a two-column key."""
+    """Keyed insert with silent overwrite on a two-column key.
+
+    Two batches that share keys, the one with the newer rows first: stored rows are
+    overwritten by some rows of the second batch and not by others.
+    """
     root = scratch_path(spark, "upsert-composite")
     keys = ["l_orderkey", "l_linenumber"]
-    merged = upsert_into(table(spark, sf, "lineitem"), root, keys, LINE_ORDER)
+    lines = table(spark, sf, "lineitem")
+    newer = F.col("l_shipdate") >= F.to_timestamp_ntz(F.lit("1998-06-01"))
+    upsert_into(lines.filter(newer), root, keys, LINE_ORDER)
+    older = lines.filter(~newer | (F.col("l_quantity") > 25))
+    merged = upsert_into(older, root, keys, LINE_ORDER)
     return merged.select(
         *keys, "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"
     )

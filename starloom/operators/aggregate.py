@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 KEEP = ("distinct", "first", "last")
 
@@ -20,8 +20,10 @@ def dedupe(
     """Remove duplicates by policy.
 
     ``distinct`` keeps every different row. ``first`` and ``last`` keep one row per
-    key by a declared total order; nulls in the order lose either way. Spark cuts
-    each map task to one row per key before the shuffle.
+    key by a declared order; nulls in the order lose either way. Rows that tie are
+    ranked by their other columns that have an order, so the same rows give the same
+    result however they are spread. Spark cuts each map task to one row per key before
+    the shuffle.
     """
     if keep == "distinct":
         return df.distinct()
@@ -29,9 +31,12 @@ def dedupe(
         raise ValueError(f"keep {keep!r} is not one of {KEEP}")
     if not order:
         raise ValueError(f"keep={keep!r} needs an order")
-    ranked = [
-        F.col(c).asc_nulls_last() if keep == "first" else F.col(c).desc_nulls_last() for c in order
+    rest = [
+        f.name for f in df.schema.fields
+        if f.name not in {*order, *keys} and not isinstance(f.dataType, (T.MapType, T.VariantType))
     ]
+    columns = [*(F.col(c) for c in order), *(F.col(f"`{c}`") for c in rest)]
+    ranked = [c.asc_nulls_last() if keep == "first" else c.desc_nulls_last() for c in columns]
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*ranked))
     return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 

@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings a session should carry for this library. They can all be changed at
@@ -108,6 +109,40 @@ def child_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
+def child_files(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _file_system(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isFile()]
+    return sorted(n for n in names if not n.startswith((".", "_")))
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    """A small text file, whole."""
+    fs, p = _file_system(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small text file that must not exist yet; False when it does."""
+    fs, p = _file_system(spark, path)
+    try:
+        stream = fs.create(p, False)
+    except Py4JJavaError as error:
+        if fs.exists(p):
+            return False
+        raise error
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    return True
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     fs, p = _file_system(spark, path)
     return fs.delete(p, True)

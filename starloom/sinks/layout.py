@@ -1,10 +1,13 @@
-"""Physical layout: co-location by key, order on storage, small-table replication."""
+"""Physical layout: co-location by key and order on storage.
+
+Replication of small tables is left to Spark, which broadcasts by measured size.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 
 def cluster(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
@@ -32,14 +35,3 @@ def write_bucketed(
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(table)
-
-
-def copy_to_all(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Mark a table for replication to all executors, if it has at most ``max_rows``.
-
-    The check reads at most one row beyond the bound. A larger table is returned
-    without the mark and joins by shuffle.
-    """
-    if df.limit(max_rows + 1).count() > max_rows:
-        return df
-    return F.broadcast(df)

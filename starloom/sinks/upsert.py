@@ -1,22 +1,53 @@
 """Keyed upsert: insert, and on a key conflict the later row replaces the earlier one.
 
-Parquet files cannot be changed in place, so the merged table is written as a new
-version folder; readers take the newest complete one. A write that fails half-way
-leaves the last version as it was.
+A table is cut into buckets by a hash of its key. A merge writes new files for the
+buckets that the batch touches, and then a manifest: a small file that says which
+version wrote each bucket. Untouched buckets are shared with the version before, so a
+merge costs what the touched buckets hold. The manifest is the commit mark: what has
+none does not count, so a write that fails half-way leaves the table as it was.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-
+from dataclasses import asdict, dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from starloom.operators.aggregate import dedupe
-from starloom.session import child_dirs, delete_path, path_exists
+from starloom.session import child_dirs, child_files, create_file, delete_path, read_file
+
+_VERSION, _BUCKET = "version=", "_bucket"
+DEFAULT_BUCKETS = 16
+
+
+class Conflict(RuntimeError):
+    """Another writer has committed the version that this one was about to."""
+
 
-_VERSION = "version="
+@dataclass(frozen=True)
+class Manifest:
+    """One version of a table: the version that wrote each bucket's files."""
+
+    number: int
+    keys: list[str]
+    buckets: int
+    written_by: dict[int, int] = field(default_factory=dict)
+    mark: int = -1  # how far a caller's own input is merged
+
+    def to_text(self) -> str:
+        return json.dumps(asdict(self))
+
+    @staticmethod
+    def from_text(text: str) -> Manifest | None:
+        """None when the text was cut off while it was written."""
+        try:
+            found = json.loads(text)
+        except ValueError:
+            return None
+        return Manifest(**found | {"written_by": {int(b): v for b, v in found["written_by"].items()}})
 
 
 def upsert(
@@ -24,10 +55,10 @@ def upsert(
 ) -> DataFrame:
     """Rows of both, one per key: the highest by ``order``.
 
-    ``order`` must be total within a key. The result then does not depend on how
-    rows are spread or on how often a batch is applied. Target rows whose key is not in
-    the batch pass through: with a batch small enough to broadcast they are not
-    shuffled, otherwise both joins share one shuffle of the target.
+    Rows that tie in ``order`` are ranked by their other columns, so the result does
+    not depend on how rows are spread or on how often a batch is applied. Target rows
+    whose key is not in the batch pass through: with a batch small enough to broadcast
+    they are not shuffled, otherwise both joins share one shuffle of the target.
     """
     if target is None:
         return dedupe(batch, keys, keep="last", order=order)
@@ -40,46 +71,92 @@ def upsert(
     return target.join(touched, same, "left_anti").unionByName(newest)
 
 
-def current_version(spark: SparkSession, root: str) -> int | None:
-    """Number of the newest complete version."""
-    numbers = sorted(
-        (int(d[len(_VERSION):]) for d in child_dirs(spark, root) if d.startswith(_VERSION)),
-        reverse=True,
-    )
-    for number in numbers:
-        if path_exists(spark, f"{version_path(root, number)}/_SUCCESS"):
-            return number
-    return None
+def _data(root: str, number: int) -> str:
+    return f"{root}/data/{_VERSION}{number:012d}"
 
 
-def version_path(root: str, number: int) -> str:
-    return f"{root}/{_VERSION}{number:012d}"
+def _manifest_path(root: str, number: int) -> str:
+    return f"{root}/manifests/{number:012d}.json"
 
 
-def write_version(df: DataFrame, root: str, number: int) -> DataFrame:
-    path = version_path(root, number)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def current_version(spark: SparkSession, root: str) -> Manifest | None:
+    """The newest committed version."""
+    for name in sorted(child_files(spark, f"{root}/manifests"), reverse=True):
+        if found := Manifest.from_text(read_file(spark, f"{root}/manifests/{name}")):
+            return found
+    return None
+
+
+def read_version(
+    spark: SparkSession, root: str, manifest: Manifest, schema: T.StructType, buckets: Sequence[int] | None = None
+) -> DataFrame:
+    """Rows of a version, or of some of its buckets."""
+    wanted = sorted(manifest.written_by if buckets is None else set(buckets) & set(manifest.written_by))
+    paths = [f"{_data(root, manifest.written_by[b])}/{_BUCKET}={b}" for b in wanted]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*paths)
 
 
 def upsert_into(
-    batch: DataFrame, root: str, keys: Sequence[str], order: Sequence[str]
+    batch: DataFrame,
+    root: str,
+    keys: Sequence[str],
+    order: Sequence[str],
+    buckets: int = DEFAULT_BUCKETS,
+    mark: int = -1,
+    fresh: bool = False,
 ) -> DataFrame:
-    """Merge a batch into the versioned table at ``root`` and return the new version."""
+    """Merge a batch into the table at ``root`` and return the new version.
+
+    ``buckets`` counts for a new table only; choose it so that a bucket fits a few
+    tasks. Data without any manifest is no empty table: a manifest was lost or the
+    first write failed, and ``fresh`` says to start over. Two merges at once: the
+    second to commit raises ``Conflict`` and can be run again. ``mark`` is kept in the
+    manifest for the caller.
+    """
     spark = batch.sparkSession
-    number = current_version(spark, root)
-    target = None
-    if number is not None:
-        target = spark.read.schema(batch.schema).parquet(version_path(root, number))
-    return write_version(upsert(target, batch, keys, order), root, (number or 0) + 1)
+    now = current_version(spark, root)
+    left_behind = [int(d[len(_VERSION):]) for d in child_dirs(spark, f"{root}/data")]
+    if now is None and left_behind and not fresh:
+        raise RuntimeError(f"{root} holds data but no manifest; pass fresh=True to start over")
+    if now is not None and list(now.keys) != list(keys):
+        raise ValueError(f"the table's key is {now.keys}, not {list(keys)}")
+    count = now.buckets if now is not None else buckets
+    # A failed write may have left files under the next number: never write among them.
+    number = max([now.number if now is not None else 0, *left_behind]) + 1
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(count)).cast("int")
+    # One row per bucket at most.
+    touched = [r[0] for r in batch.select(bucket.alias("b")).distinct().collect()]
+    known = [b for b in touched if now is not None and b in now.written_by]
+    target = read_version(spark, root, now, batch.schema, known) if known else None
+    merged = upsert(target, batch, keys, order).withColumn(_BUCKET, bucket)
+    merged.hint("rebalance", _BUCKET).write.mode("error").partitionBy(_BUCKET).parquet(_data(root, number))
+    written_by = {**(now.written_by if now is not None else {}), **{b: number for b in touched}}
+    base = now.number if now is not None else 0
+    made = Manifest(base + 1, list(keys), count, written_by, max(mark, now.mark if now is not None else -1))
+    if not create_file(spark, _manifest_path(root, made.number), made.to_text()):
+        raise Conflict(f"version {made.number} of {root} was committed by another writer")
+    return read_version(spark, root, made, batch.schema)
 
 
 def prune_versions(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
-    """Delete all but the newest ``keep`` versions; readers of an older one must be done."""
-    numbers = sorted(
-        int(d[len(_VERSION):]) for d in child_dirs(spark, root) if d.startswith(_VERSION)
-    )
-    old = numbers[:-keep] if keep else numbers
-    for number in old:
-        delete_path(spark, version_path(root, number))
-    return old
+    """Delete all but the newest ``keep`` versions, and files that no kept one refers to.
+
+    Readers of an older version and all writers must be done.
+    """
+    names = sorted(child_files(spark, f"{root}/manifests"))
+    old, kept = (names[:-keep], names[-keep:]) if keep else (names, [])
+    manifests = [Manifest.from_text(read_file(spark, f"{root}/manifests/{n}")) for n in kept]
+    used = {(v, b) for m in manifests if m for b, v in m.written_by.items()}
+    for name in old:
+        delete_path(spark, f"{root}/manifests/{name}")
+    for folder in child_dirs(spark, f"{root}/data"):
+        number = int(folder[len(_VERSION):])
+        if not any(v == number for v, _ in used):
+            delete_path(spark, f"{root}/data/{folder}")
+            continue
+        for part in child_dirs(spark, f"{root}/data/{folder}"):
+            if part.startswith(f"{_BUCKET}=") and (number, int(part[len(_BUCKET) + 1:])) not in used:
+                delete_path(spark, f"{root}/data/{folder}/{part}")
+    return [int(n.removesuffix(".json")) for n in old]

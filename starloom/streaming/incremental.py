@@ -2,8 +2,9 @@
 
 Each micro-batch is stored under its batch number, so its cost follows the size of
 the batch and a retried batch replaces its own output. The keyed merge with the
-target runs once per run, over the batches it has not merged yet. Version numbers of
-the target are batch numbers, which makes "not merged yet" a comparison.
+target runs once per run, over the batches it has not merged yet, and rewrites the
+buckets that hold their keys. The manifest of the target carries the last merged batch
+number, which makes "not merged yet" a comparison.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 
 from starloom.operators.aggregate import dedupe
 from starloom.session import child_dirs, delete_path
-from starloom.sinks.upsert import current_version, upsert, version_path, write_version
+from starloom.sinks.upsert import DEFAULT_BUCKETS, current_version, read_version, upsert_into
 
 _BATCH = "batch="
 
@@ -41,6 +42,7 @@ def incremental_upsert(
     target: str,
     keys: Sequence[str],
     order: Sequence[str],
+    buckets: int = DEFAULT_BUCKETS,
 ) -> DataFrame:
     """Take in all files that arrived since the last run and return the merged table.
 
@@ -60,7 +62,7 @@ def incremental_upsert(
         .start()
     )
     query.awaitTermination()
-    return merge_batches(spark, target, feed.schema, keys, order)
+    return merge_batches(spark, target, feed.schema, keys, order, buckets)
 
 
 def merge_batches(
@@ -69,25 +71,23 @@ def merge_batches(
     schema: T.StructType,
     keys: Sequence[str],
     order: Sequence[str],
+    buckets: int = DEFAULT_BUCKETS,
 ) -> DataFrame:
-    """Merge stored batches beyond the current version into a new one."""
-    done = current_version(spark, target)
+    """Merge stored batches beyond the current version's mark into a new one."""
+    now = current_version(spark, target)
     stored = [int(d[len(_BATCH):]) for d in child_dirs(spark, f"{target}/batches")]
-    fresh = [n for n in stored if done is None or n > done]
-    base = None
-    if done is not None:
-        base = spark.read.schema(schema).parquet(version_path(target, done))
+    fresh = [n for n in stored if now is None or n > now.mark]
     if not fresh:
-        return base if base is not None else spark.createDataFrame([], schema)
+        return read_version(spark, target, now, schema) if now is not None else spark.createDataFrame([], schema)
     changes = spark.read.schema(schema).parquet(*[_batch_path(target, n) for n in fresh])
-    return write_version(upsert(base, changes, keys, order), target, max(fresh))
+    return upsert_into(changes, target, keys, order, buckets, mark=max(fresh))
 
 
 def prune_batches(spark: SparkSession, target: str) -> list[int]:
     """Delete stored batches that the current version already holds."""
-    done = current_version(spark, target)
+    now = current_version(spark, target)
     stored = [int(d[len(_BATCH):]) for d in child_dirs(spark, f"{target}/batches")]
-    merged = [n for n in stored if done is not None and n <= done]
+    merged = [n for n in stored if now is not None and n <= now.mark]
     for number in merged:
         delete_path(spark, _batch_path(target, number))
     return merged

@@ -1,19 +1,22 @@
 import os
+import sys
 
 import pytest
 from pyspark.sql import functions as F
 
 from starloom.schemas import INT, LONG, STRING, struct
-from starloom.session import child_dirs, scratch_path, shared_root
+from starloom.operators import dedupe
+from starloom.session import child_dirs, create_file, scratch_path, shared_root
 from starloom.sinks import (
+    Conflict,
     conform_positions,
-    copy_to_all,
     create_tables,
     current_version,
     drop_tables,
     load,
     load_path,
     prune_versions,
+    read_version,
     upsert,
     upsert_into,
     write_csv,
@@ -41,13 +44,75 @@ def test_versions(spark, rows):
     for level, ts in (("a", 1), ("b", 2), ("c", 0)):
         merged = upsert_into(spark.createDataFrame([(1, level, ts)], USERS), root, ["user_id"], ["ts"])
     assert rows(merged) == [(1, "b", 2)]
-    assert current_version(spark, root) == 3
-    # A version without its success mark is unfinished and not read.
-    os.makedirs(f"{root}/version=000000000009")
-    assert current_version(spark, root) == 3
-    os.rmdir(f"{root}/version=000000000009")
+    assert current_version(spark, root).number == 3
+    # A manifest that was cut off while it was written does not count, nor do files without one.
+    os.makedirs(f"{root}/data/version=000000000009")
+    with open(f"{root}/manifests/000000000004.json", "w") as cut:
+        cut.write('{"number": 4, "ke')
+    assert current_version(spark, root).number == 3
+    os.remove(f"{root}/manifests/000000000004.json")
     assert prune_versions(spark, root, keep=1) == [1, 2]
-    assert child_dirs(spark, root) == ["version=000000000003"]
+    assert child_dirs(spark, f"{root}/data") == ["version=000000000003"]
+
+
+def test_only_touched_buckets_are_written(spark, rows):
+    root = scratch_path(spark, "buckets")
+    start = [(i, "old", 1) for i in range(200)]
+    upsert_into(spark.createDataFrame(start, USERS), root, ["user_id"], ["ts"], buckets=8)
+    first = current_version(spark, root)
+    assert sorted(first.written_by) == list(range(8))
+    merged = upsert_into(spark.createDataFrame([(7, "new", 2), (900, "new", 2)], USERS), root, ["user_id"], ["ts"])
+    second = current_version(spark, root)
+    touched = [b for b, v in second.written_by.items() if v == 2]
+    assert 1 <= len(touched) <= 2 and second.buckets == 8
+    assert child_dirs(spark, f"{root}/data/version=000000000002") == sorted(f"_bucket={b}" for b in touched)
+    assert rows(merged) == sorted([r for r in start if r[0] != 7] + [(7, "new", 2), (900, "new", 2)], key=repr)
+    # Files that the kept version shares with an older one stay; replaced ones go.
+    prune_versions(spark, root, keep=1)
+    assert rows(read_version(spark, root, second, merged.schema)) == rows(merged)
+    assert len(child_dirs(spark, f"{root}/data/version=000000000001")) == 8 - len(touched)
+
+
+def test_an_upsert_never_loses_a_table(spark, rows):
+    root = scratch_path(spark, "lost")
+    frame = spark.createDataFrame([(1, "a", 1)], USERS)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        upsert_into(frame, root, ["user_id"], ["ts"])
+        merged = upsert_into(spark.createDataFrame([(2, "b", 1)], USERS), root, ["user_id"], ["ts"])
+        assert rows(merged) == [(1, "a", 1), (2, "b", 1)]
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    # Another writer commits the same version first.
+    taken = current_version(spark, root)
+    assert not create_file(spark, f"{root}/manifests/{taken.number:012d}.json", "{}")
+    for name in os.listdir(f"{root}/manifests"):
+        os.remove(f"{root}/manifests/{name}")
+    with pytest.raises(RuntimeError, match="no manifest"):
+        upsert_into(frame, root, ["user_id"], ["ts"])
+    assert rows(upsert_into(frame, root, ["user_id"], ["ts"], fresh=True)) == [(1, "a", 1)]
+
+
+def test_two_writers_conflict(spark, monkeypatch):
+    module = sys.modules["starloom.sinks.upsert"]
+    root = scratch_path(spark, "conflict")
+    frame = spark.createDataFrame([(1, "a", 1)], USERS)
+    upsert_into(frame, root, ["user_id"], ["ts"])
+    seen = current_version(spark, root)
+    upsert_into(frame, root, ["user_id"], ["ts"])
+    monkeypatch.setattr(module, "current_version", lambda *_: seen)
+    with pytest.raises(Conflict):
+        upsert_into(frame, root, ["user_id"], ["ts"])
+
+
+def test_ties_do_not_depend_on_row_order(spark, rows):
+    data = [(1, "x", 5), (1, "y", 5), (1, "z", 5), (2, "a", 1)]
+    found = [
+        rows(dedupe(spark.createDataFrame(order, USERS).repartition(n), ["user_id"], keep, ["ts"]))
+        for order in (data, data[::-1], data[2:] + data[:2]) for n in (1, 3) for keep in ("last",)
+    ]
+    assert all(f == [(1, "z", 5), (2, "a", 1)] for f in found)
 
 
 def test_incremental_upsert(spark, rows):
@@ -134,18 +199,6 @@ def test_csv_round_trip_with_quotes(spark, rows):
     assert ("a, b", 'say "x"') in rows(got)
 
 
-def test_copy_to_all_checks_the_size(spark):
-    big, small = spark.range(1000), spark.range(10).withColumnRenamed("id", "k")
-    plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "BroadcastHashJoin" in plan(big.join(copy_to_all(small, 10), F.col("id") == F.col("k")))
-        assert "BroadcastHashJoin" not in plan(big.join(copy_to_all(small, 9), F.col("id") == F.col("k")))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-
-
 def test_shared_root_follows_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
