@@ -115,15 +115,51 @@ def src_csv_semicolon(spark, sf):
 
 
 @query("src_csv_multifile", """
-SELECT o_orderkey, o_orderpriority || ', "' || o_orderstatus || '"' AS note FROM orders
+SELECT o_orderkey, ' ' || o_orderpriority || ', "' || o_orderstatus || '"' || chr(10) || 'line 2 ' AS note,
+       CASE WHEN o_orderstatus = 'O' THEN '' WHEN o_orderstatus = 'F' THEN chr(13) || chr(10) END AS rest
+FROM orders
 """)
 def src_csv_multifile(spark, sf):
-    """Many files with a header each; quoted fields hold separators and quotes."""
+    """Many files with a header each; fields hold separators, quotes, line breaks and outer blanks."""
     root = scratch_path(spark, "csv-files")
-    note = F.concat("o_orderpriority", F.lit(', "'), "o_orderstatus", F.lit('"')).alias("note")
-    orders = table(spark, sf, "orders").select("o_orderkey", note)
-    orders.repartition(4).write.option("header", True).option("escape", '"').csv(root)
-    return read_csv(spark, root, struct(o_orderkey=LONG, note=STRING))
+    note = F.concat(
+        F.lit(" "), "o_orderpriority", F.lit(', "'), "o_orderstatus", F.lit('"\nline 2 ')
+    ).alias("note")
+    rest = F.when(F.col("o_orderstatus") == "O", "").when(F.col("o_orderstatus") == "F", "\r\n").alias("rest")
+    orders = table(spark, sf, "orders").select("o_orderkey", note, rest)
+    write_csv(orders, root, max_records_per_file=4000)
+    return read_csv(spark, root, struct(o_orderkey=LONG, note=STRING, rest=STRING))
+
+
+@query("src_bad_records", """
+SELECT CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey END AS o_orderkey,
+       CASE WHEN o_orderkey % 7 <> 0 THEN o_orderstatus END AS o_orderstatus,
+       CASE WHEN o_orderkey % 7 = 0 THEN '{"o_orderkey": ' || o_orderkey || ', "o_ord' END AS _bad_record
+FROM orders
+""")
+def src_bad_records(spark, sf):
+    """JSON lines of which every seventh order's is cut off: kept beside the good ones."""
+    root = scratch_path(spark, "bad-records")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    cut = F.concat(F.lit('{"o_orderkey": '), F.col("o_orderkey").cast("string"), F.lit(', "o_ord'))
+    line = F.when(F.col("o_orderkey") % 7 == 0, cut).otherwise(F.to_json(F.struct(*orders.columns)))
+    write_text(orders.select(line.alias("value")), f"{root}/orders.json")
+    return stage_json(spark, f"{root}/orders.json", struct(o_orderkey=LONG, o_orderstatus=STRING), mode="keep")
+
+
+@query("src_json_positions", """
+SELECT o_orderkey AS id, o_orderstatus AS status, CAST(o_totalprice AS DOUBLE) AS price, o_custkey AS who FROM orders
+""")
+def src_json_positions(spark, sf):
+    """Several columns by their place in a path list, one path two levels deep."""
+    root = scratch_path(spark, "json-positions")
+    record = F.struct(
+        F.struct(F.col("o_custkey").alias("id"), F.col("o_totalprice").alias("spent")).alias("buyer"),
+        F.col("o_orderstatus").alias("s"), F.col("o_orderkey").alias("k"),
+    )
+    write_text(table(spark, sf, "orders").select(F.to_json(record).alias("value")), root)
+    declared = struct(id=LONG, status=STRING, price=DOUBLE, who=LONG)
+    return stage_json(spark, root, declared, ["$.k", "$['s']", "$.buyer.spent", "$.buyer.id"])
 
 
 @query("src_landing_format", "SELECT l_orderkey, l_quantity, l_extendedprice FROM lineitem")

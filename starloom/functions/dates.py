@@ -70,7 +70,10 @@ def calendar_parts(ts: ColumnOrName, weekday_style: str = "monday0") -> dict[str
 
 
 def time_of_day(ts: ColumnOrName) -> Column:
-    return F.date_format(_col(ts), "HH:mm:ss")
+    """HH:mm:ss from the parts, which have no zone."""
+    c = _col(ts)
+    hour, minute, second = (F.lpad(part(c).cast("string"), 2, "0") for part in (F.hour, F.minute, F.second))
+    return F.concat(hour, F.lit(":"), minute, F.lit(":"), second)
 
 
 def day_number_to_date(days: ColumnOrName, epoch: dt.date = DAY_NUMBER_EPOCH) -> Column:
@@ -96,10 +99,16 @@ def parse_compact_date(text: ColumnOrName) -> Column:
 
 
 def parse_timestamp(text: ColumnOrName, fmt: str | None = None) -> Column:
-    """Text to a timestamp; unusable values give null."""
+    """Text to a timestamp; unusable values give null.
+
+    ``fmt`` must not have a zone. The text is read at offset zero and taken back from
+    there, so that a clock change in the zone of the session moves nothing.
+    """
     c = _col(text)
-    parsed = F.try_to_timestamp(c, F.lit(fmt)) if fmt else F.try_to_timestamp(c)
-    return parsed.cast("timestamp_ntz")
+    if fmt is None:
+        return c.try_cast("timestamp_ntz")
+    at_zero = F.try_to_timestamp(F.concat(c, F.lit(" +0000")), F.lit(f"{fmt} Z"))
+    return _after_epoch((F.unix_micros(at_zero).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)"))
 
 
 def text_to_date(text: ColumnOrName) -> Column:

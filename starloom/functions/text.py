@@ -64,7 +64,7 @@ def fact_key(session: ColumnOrName, start_time: ColumnOrName) -> Column:
     The key depends on the row alone, so a task that is run again gives the same
     key. Generated ids do not have that property.
     """
-    second = F.date_format(_col(start_time), "yyyy-MM-dd HH:mm:ss")
+    second = F.substring_index(_col(start_time).cast("timestamp_ntz").cast("string"), ".", 1)
     return F.md5(F.concat(_col(session).cast("string"), second))
 
 

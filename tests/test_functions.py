@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -36,14 +37,22 @@ def test_session_zone_plays_no_part(spark):
     try:
         got = frame.select(fn.timestamp_to_epoch_millis("t").alias("ms"), "t").select(
             "ms", fn.epoch_millis_to_timestamp("ms"), fn.epoch_millis_to_second("ms"),
-            fn.fact_key(F.lit(1), "t"),
+            fn.fact_key(F.lit(1), "t"), fn.time_of_day("t"),
+            fn.parse_timestamp(F.col("t").cast("string")),
+            fn.parse_timestamp(F.substring(F.col("t").cast("string"), 1, 19), "yyyy-MM-dd HH:mm:ss"),
         ).collect()
+        hours = spark.sql("SELECT explode(sequence(timestamp_ntz'2018-03-11 00:30:00', timestamp_ntz'2018-03-11 04:30:00', interval 1 hour)) AS t")
+        assert hours.select(fn.fact_key(F.lit(1), "t")).distinct().count() == 5
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
     epoch = dt.datetime(1970, 1, 1)
     cut = [m.replace(microsecond=m.microsecond // 1000 * 1000) for m in moments]
     assert [r[0] for r in got] == [(m - epoch) // dt.timedelta(milliseconds=1) for m in moments]
     assert [r[1] for r in got] == cut
+    assert [r[3] for r in got] == [hashlib.md5(f"1{m:%Y-%m-%d %H:%M:%S}".encode()).hexdigest() for m in moments]
+    assert [r[4] for r in got] == [f"{m:%H:%M:%S}" for m in moments]
+    assert [r[5] for r in got] == moments
+    assert [r[6] for r in got] == [m.replace(microsecond=0) for m in moments]
     assert [r[2] for r in got[:2]] == [m.replace(microsecond=0) for m in cut[:2]]
 
 
@@ -100,6 +109,8 @@ def test_text_to_date(spark, text, day):
 def test_parse_timestamp(spark):
     assert one(spark, fn.parse_timestamp("x"), x="2018-11-01 21:01:46") == dt.datetime(2018, 11, 1, 21, 1, 46)
     assert one(spark, fn.parse_timestamp("x"), x="never") is None
+    assert one(spark, fn.parse_timestamp("x", "dd/MM/yyyy HH:mm"), x="01/11/2018 21:01") == dt.datetime(2018, 11, 1, 21, 1)
+    assert one(spark, fn.parse_timestamp("x", "dd/MM/yyyy HH:mm"), x="2018-11-01") is None
 
 
 @pytest.mark.parametrize("text, plain, signed", [
@@ -121,7 +132,6 @@ def test_comma_and_dash(spark):
 
 
 def test_fact_key(spark):
-    import hashlib
     at = dt.datetime(2018, 11, 1, 21, 1, 46, 796000)
     frame = spark.createDataFrame([(8, at), (None, at), (8, None)], "s int, t timestamp_ntz")
     keys = [r[0] for r in frame.select(fn.fact_key("s", "t")).collect()]
