@@ -53,15 +53,13 @@ def join_left_natural_key(spark, sf):
 @query("join_implicit", JOINED_SQL.format(how="INNER"))
 def join_implicit(spark, sf):
     """Comma join with the conditions in WHERE; Spark plans equal-key joins from it."""
-    views.play_log(spark, sf).createOrReplaceTempView("staging_events")
-    views.catalogue(spark, sf).createOrReplaceTempView("staging_songs")
     return spark.sql("""
         SELECT s.song_id, s.artist_id, e.sessionId AS session_id, e.itemInSession AS item,
                e.userId AS user_id, e.song, e.length
-        FROM staging_events e, staging_songs s
+        FROM {staging_events} e, {staging_songs} s
         WHERE e.artist = s.artist_name AND e.song = s.title AND e.length = s.duration
           AND e.page = 'N'
-    """)
+    """, staging_events=views.play_log(spark, sf), staging_songs=views.catalogue(spark, sf))
 
 
 @query("join_first_match_lookup", f"""

@@ -54,10 +54,22 @@ def fact_first_match(spark, sf):
 
 
 @query("dim_songs", f"""
-SELECT DISTINCT song_id, title, artist_id, year, duration FROM ({views.CATALOGUE_SQL})
+SELECT DISTINCT song_id, title, artist_id, year, duration FROM ({views.WHOLE_CATALOGUE_SQL})
 """)
 def dim_songs(spark, sf):
-    return star.build_songs(views.catalogue(spark, sf))
+    return star.build_songs(views.whole_catalogue(spark, sf))
+
+
+@query("dim_songs_last", f"""
+SELECT song_id, title, artist_id, year, duration FROM (
+  SELECT song_id % 700 AS song_id, title, artist_id, year, duration, row_number() OVER (
+    PARTITION BY song_id % 700 ORDER BY year DESC, artist_id DESC, title DESC, duration DESC) AS r
+  FROM ({views.WHOLE_CATALOGUE_SQL})) WHERE r = 1
+""")
+def dim_songs_last(spark, sf):
+    """Song ids that repeat: the last by year stays, ties by the other columns."""
+    songs = views.whole_catalogue(spark, sf).withColumn("song_id", F.col("song_id") % 700)
+    return star.build_songs(songs, "last", ["year"])
 
 
 @query("dim_artists", """
@@ -72,11 +84,11 @@ def dim_artists(spark, sf):
 @query("dim_artists_last", f"""
 SELECT artist_id, artist_name AS name, CAST(NULL AS VARCHAR) AS location,
        CAST(NULL AS DOUBLE) AS latitude, CAST(NULL AS DOUBLE) AS longitude
-FROM ({views.CATALOGUE_SQL}) GROUP BY artist_id, artist_name
+FROM ({views.WHOLE_CATALOGUE_SQL}) GROUP BY artist_id, artist_name
 """)
 def dim_artists_last(spark, sf):
     """One row per artist out of many songs."""
-    return star.build_artists(views.catalogue(spark, sf), keep="last")
+    return star.build_artists(views.whole_catalogue(spark, sf), keep="last")
 
 
 @query("dim_users_distinct", f"""

@@ -202,11 +202,10 @@ FROM orders GROUP BY o_orderstatus
 """)
 def src_table_scan(spark, sf):
     """SQL over a staging table."""
-    table(spark, sf, "orders").createOrReplaceTempView("staging_orders")
     return spark.sql("""
         SELECT o_orderstatus, count(*) AS n, max(o_orderkey) AS top_key
-        FROM staging_orders GROUP BY o_orderstatus
-    """)
+        FROM {staging_orders} GROUP BY o_orderstatus
+    """, staging_orders=table(spark, sf, "orders"))
 
 
 @query("src_label_mappings", """

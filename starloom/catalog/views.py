@@ -35,7 +35,16 @@ def _title():
 
 def catalogue(spark: SparkSession, sf: str) -> DataFrame:
     """Song metadata: parts of up to size 40, so that some plays have no match."""
-    return table(spark, sf, "part").filter("p_size <= 40").select(
+    return _songs(table(spark, sf, "part").filter("p_size <= 40"))
+
+
+def whole_catalogue(spark: SparkSession, sf: str) -> DataFrame:
+    """Song metadata of all parts, for the dimensions."""
+    return _songs(table(spark, sf, "part"))
+
+
+def _songs(parts: DataFrame) -> DataFrame:
+    return parts.select(
         F.lit("1").alias("num_songs"),
         F.concat(F.lit("AR-"), "p_brand").alias("artist_id"),
         F.lit(None).cast("double").alias("artist_latitude"),
@@ -49,11 +58,12 @@ def catalogue(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-CATALOGUE_SQL = f"""
+WHOLE_CATALOGUE_SQL = f"""
   SELECT 'AR-' || p_brand AS artist_id, p_brand AS artist_name, p_partkey AS song_id,
          {TITLE_SQL} AS title, p_retailprice AS duration, p_size + 1970 AS year
-  FROM part WHERE p_size <= 40
+  FROM part
 """
+CATALOGUE_SQL = f"{WHOLE_CATALOGUE_SQL} WHERE p_size <= 40"
 
 
 def play_log(spark: SparkSession, sf: str, names: bool = False) -> DataFrame:
