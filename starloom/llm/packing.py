@@ -145,11 +145,11 @@ def _batch(found: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(x, pa.int64()) for x in columns] + [pa.ListArray.from_arrays(ends, flat.astype(np.int32))], names=NAMES)
 
 
-def _packed(pieces: Iterator[tuple], merges: int, last: bool) -> Iterator[pa.RecordBatch]:
+def _packed(pieces: Iterator[tuple], merges: int, last: bool, windows: int) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
     # a task numbers its sequences on from (round of merging, partition)
-    packer, held = Packer((merges << 58) + (TaskContext.get().partitionId() << 32)), 0
+    packer, held = Packer((merges << 58) + (TaskContext.get().partitionId() << 32), windows), 0
     for row, start, total, ids in pieces:
         packer.add(row, start, total, ids)
         held += len(ids)
@@ -162,7 +162,7 @@ def _packed(pieces: Iterator[tuple], merges: int, last: bool) -> Iterator[pa.Rec
     yield _batch(packer.take() + list(packer.leftovers()))
 
 
-def _tokenised(files: tuple[str, str, str], end_id: int):
+def _tokenised(files: tuple[str, str, str], end_id: int, windows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = tokens_of(*files)
 
@@ -172,12 +172,12 @@ def _tokenised(files: tuple[str, str, str], end_id: int):
                     ids = np.append(tokens.ids(text.as_py() or ""), np.int32(end_id))
                     yield row.as_py(), 0, len(ids), ids
 
-        yield from _packed(pieces(), 0, last=False)
+        yield from _packed(pieces(), 0, False, windows)
 
     return run
 
 
-def _merged(merges: int, last: bool):
+def _merged(merges: int, last: bool, windows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pieces():
             for batch in batches:
@@ -185,7 +185,7 @@ def _merged(merges: int, last: bool):
                 for i, ids in enumerate(batch.column(7)):
                     yield rows[i], starts[i], totals[i], np.asarray(ids.values)
 
-        yield from _packed(pieces(), merges, last)
+        yield from _packed(pieces(), merges, last, windows)
 
     return run
 
@@ -197,7 +197,9 @@ def tokenizer_files(name: str = "byte_bpe_50k") -> tuple[str, str, str]:
     return public_tokenizers.path(f"{name}.json"), public_tokenizers.path(f"{name}.tiktoken"), public_tokenizers.PATTERN
 
 
-def pack(docs: DataFrame, text_col: str = "text", files: tuple[str, str, str] | None = None, end_id: int = 1) -> DataFrame:
+def pack(
+    docs: DataFrame, text_col: str = "text", files: tuple[str, str, str] | None = None, end_id: int = 1, windows: int = OPEN,
+) -> DataFrame:
     """(_row, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids): the pieces of all sequences.
 
     The ids of a text, then ``end_id``, lie in exactly one piece each; the pieces of a sequence fill
@@ -207,20 +209,20 @@ def pack(docs: DataFrame, text_col: str = "text", files: tuple[str, str, str] |
     columns are ignored; no rows give no pieces. ``_row`` is the row number of a stored table (see
     ``with_row``). ``files`` are a tokenizer's, as in ``Tokens``.
 
-    Memory of a task: OPEN windows, one text and a million tokens of output. Leftovers are merged in
+    Memory of a task: ``windows`` open windows, one text and a million tokens of output. Leftovers are merged in
     rounds, those of MERGED tasks by one, until one task can take what is left.
     """
     rows = c.with_row(docs.select(F.col(text_col).alias("text"))).select("_row", "text")
-    found = c.stored(rows.mapInArrow(_tokenised(files or tokenizer_files(), end_id), PIECE), "pack-first")
+    found = c.stored(rows.mapInArrow(_tokenised(files or tokenizer_files(), end_id, windows), PIECE), "pack-first")
     tables, merges, last = [], 0, False
     while not last:
         tables.append(found.where(F.col("sequence_id") != NO_SEQUENCE))
         rest = found.where(F.col("sequence_id") == NO_SEQUENCE)
         tokens = rest.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first()["n"]
-        parts = -(-tokens // (MERGED * OPEN * WINDOW))
+        parts = -(-tokens // (MERGED * windows * WINDOW))
         merges, last = merges + 1, parts <= 1
-        # whole leftovers of tasks go together; each round leaves OPEN windows a task at most
-        found = c.stored(rest.coalesce(max(1, parts)).mapInArrow(_merged(merges, last), PIECE), "pack-merged")
+        # whole leftovers of tasks go together; each round leaves ``windows`` of them a task at most
+        found = c.stored(rest.coalesce(max(1, parts)).mapInArrow(_merged(merges, last, windows), PIECE), "pack-merged")
     tables.append(found)
     out = tables[0]
     for table in tables[1:]:
