@@ -6,6 +6,12 @@ bands of ROWS hashes: at a similarity of 0.8 a pair meets in a band with probabi
 1 - (1 - 0.8 ** ROWS) ** BANDS = 0.986, and in each of its other copies again. Pairs that meet are
 verified by exact Jaccard and joined to clusters. Of a cluster the first place in the corpus stays;
 other places are removed where they are part of a run of MIN_RUN duplicated words.
+
+Passages that do not line up with paragraphs are found word by word. Of every GRAMS consecutive
+windows of GRAM words the one with the least hash is a print, so that any MIN_RUN words hold a
+print and equal ones the same; windows of MIN_RUN words are counted wherever they hold a print that
+occurs again. So every word in a run of MIN_RUN words that stands elsewhere too is found, whatever
+the punctuation and the line breaks. Only the inside of a word repeated more than GRAM times has no prints.
 """
 
 from __future__ import annotations
@@ -22,6 +28,8 @@ from starloom.llm.components import components
 
 MIN_WORDS = 6
 MIN_RUN = 25  # words from the first to the last paragraph of a duplicated run
+GRAM = 12  # words of a print
+GRAMS = MIN_RUN - GRAM + 1  # windows of which one is a print
 SHINGLE = 5
 BANDS, ROWS = 6, 3
 NUM, DEN = 4, 5  # similar: DEN * intersection >= NUM * union
@@ -130,6 +138,95 @@ def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         band, last, first = bands[-1:], hs[-1:], lead[-1]
 
 
+def _chunk_words(data: np.ndarray, offsets: np.ndarray, pw: c.Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, place in its document, hash) of every word of a chunk."""
+    data = c.lower_ascii(data)
+    starts, ends = c.word_bounds(data)
+    doc = np.searchsorted(offsets, starts, "right") - 1
+    first = np.searchsorted(doc, np.arange(len(offsets) - 1))
+    return doc, np.arange(len(doc)) - first[doc], c.word_hashes(data, starts, ends, CODES, pw)
+
+
+def _windows(words: np.ndarray, n: int, pw: c.Powers) -> np.ndarray:
+    """A hash of every n consecutive words, by the place of the first."""
+    if len(words) < n:
+        return np.zeros(0, np.uint64)
+    up, down = pw.to(len(words) + 1)
+    prefix = np.concatenate((np.zeros(1, np.uint64), np.cumsum(words * up[: len(words)])))
+    return c.mix((prefix[n:] - prefix[:-n]) * down[: len(words) - n + 1] + np.uint64(n))
+
+
+def _sliding(values: np.ndarray, n: int, best: np.ufunc) -> np.ndarray:
+    """The best of every n consecutive values."""
+    size = 1
+    while size * 2 <= n:
+        values, size = best(values[:-size], values[size:]), size * 2
+    return best(values[: len(values) - (n - size)], values[n - size:])
+
+
+def prints(doc: np.ndarray, words: np.ndarray, pw: c.Powers) -> tuple[np.ndarray, np.ndarray]:
+    """(place in the chunk, hash) of the least of every GRAMS windows of a document; all of them when they tie."""
+    hashed = _windows(words, GRAM, pw)
+    if len(words) < MIN_RUN:
+        return np.zeros(0, np.int64), hashed[:0]
+    most = np.uint64(2**64 - 1)
+    rank = hashed.copy()
+    rank[:-1][hashed[1:] == hashed[:-1]] = most  # one word over and over
+    least = _sliding(rank, GRAMS, np.minimum)
+    whole = doc[MIN_RUN - 1:] == doc[: len(doc) - MIN_RUN + 1]
+    edge = np.zeros(GRAMS - 1, np.uint64)
+    seen = _sliding(np.concatenate((edge, np.where(whole, least, 0).astype(np.uint64), edge)), GRAMS, np.maximum)
+    at = np.flatnonzero((seen == rank) & (rank != most) & (rank != 0))
+    return at, hashed[at]
+
+
+def _print_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(_row, text) to (_row, h, word)."""
+    pw = c.Powers()
+    for batch in batches:
+        for first, data, offsets in c.chunks(batch.column(1)):
+            doc, place, words = _chunk_words(data, offsets, pw)
+            at, hashed = prints(doc, words, pw)
+            yield pa.record_batch([batch.column(0).take(pa.array(first + doc[at])), pa.array(c.signed(hashed)), pa.array(place[at].astype(np.int32))], names=["_row", "h", "word"])
+
+
+def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(_row, text, words of shared prints) to (_row, g, word): the windows of MIN_RUN words that hold such a print."""
+    pw = c.Powers()
+    for batch in batches:
+        marks = batch.column(2)
+        for first, data, offsets in c.chunks(batch.column(1)):
+            doc, place, words = _chunk_words(data, offsets, pw)
+            if len(words) < MIN_RUN:
+                continue
+            part = marks.slice(first, len(offsets) - 1)
+            owner = np.repeat(np.arange(len(part)), np.asarray(part.value_lengths()))
+            at = np.searchsorted(doc, owner) + np.asarray(part.flatten())
+            # +1 where a print comes into the window, -1 behind it
+            step = np.zeros(len(words) + 1, np.int64)
+            np.add.at(step, np.maximum(at - GRAMS + 1, 0), 1)
+            np.add.at(step, at + 1, -1)
+            held = np.cumsum(step)[: len(words) - MIN_RUN + 1] > 0
+            at = np.flatnonzero(held & (doc[MIN_RUN - 1:] == doc[: len(doc) - MIN_RUN + 1]))
+            yield pa.record_batch([batch.column(0).take(pa.array(first + doc[at])), pa.array(c.signed(_windows(words, MIN_RUN, pw)[at])), pa.array(place[at].astype(np.int32))], names=["_row", "g", "word"])
+
+
+def repeated_runs(texts: DataFrame) -> DataFrame:
+    """(_row, runs): first word, and whether it stays, of every window of MIN_RUN words that (_row, text) holds more than once.
+
+    The first place stays, and so do windows of its text that overlap it.
+    """
+    shown = c.stored(texts.mapInArrow(_print_rows, "_row long, h long, word int"), "passage-prints")
+    shared = shown.groupBy("h").count().where("count > 1").select("h")
+    marked = shown.join(shared, "h", "left_semi").groupBy("_row").agg(F.collect_list("word").alias("words"))
+    runs = texts.join(marked, "_row").select("_row", "text", "words").mapInArrow(_run_rows, "_row long, g long, word int")
+    runs = c.stored(runs, "passage-runs")
+    again = runs.groupBy("g").agg(F.count("*").alias("n"), F.min(F.struct("_row", "word")).alias("first")).where("n > 1")
+    stays = (F.col("_row") == F.col("first._row")) & (F.col("word") < F.col("first.word") + MIN_RUN)
+    found = runs.join(again, "g").select("_row", F.struct("word", stays.alias("stays")).alias("r"))
+    return found.groupBy("_row").agg(F.collect_list("r").alias("runs"))
+
+
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(text, spans) to (h, paragraph)."""
     for batch in batches:
@@ -152,33 +249,49 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array([a[i] for i in good], pa.int64()), pa.array([b[i] for i in good], pa.int64())], names=["a", "b"])
 
 
+def _stretches(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First place of each stretch of true flags, and the place behind it."""
+    edge = np.flatnonzero(np.diff(np.concatenate(([0], flags.astype(np.int8), [0]))))
+    return edge[0::2], edge[1::2]
+
+
+def _marked(whole: bytes, found: list[dict], windows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words of a text, which of them are duplicated, and which of these are not the first."""
+    starts, ends = c.word_bounds(np.frombuffer(whole + b"\n", np.uint8))
+    both, gone = np.zeros(len(starts), bool), np.zeros(len(starts), bool)
+    before = None
+    for place, start, end, stays in sorted((d["place"], d["start"], d["end"], d["stays"]) for d in found):
+        x, y = np.searchsorted(starts, (start, end))
+        # short sentences between two duplicated paragraphs go with them
+        follows = before is not None and before[0] + 1 == place
+        both[before[1] if follows else x: y] = True
+        if not stays:
+            gone[before[1] if follows and not before[2] else x: y] = True
+        before = place, y, stays
+    for w in windows:
+        both[w["word"]: w["word"] + MIN_RUN] = True
+        if not w["stays"]:
+            gone[w["word"]: w["word"] + MIN_RUN] = True
+    return starts, ends, both, gone
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(_row, text, duplicated paragraphs, id) to (_row, id, kept text, removed spans, duplicated words, removed words)."""
+    """(_row, text, duplicated paragraphs, id, repeated windows) to (_row, id, kept text, removed spans, duplicated words, removed words)."""
     for batch in batches:
         out: list[list] = [[], [], [], []]
-        for text, found in zip(batch.column(1), batch.column(2), strict=True):
+        for text, found, windows in zip(batch.column(1), batch.column(2), batch.column(4), strict=True):
             whole = (text.as_py() or "").encode()
             spans, duplicated, removed = [], 0, 0
-            places = sorted((d["place"], d["start"], d["end"], d["stays"]) for d in found.as_py() or [])
-            runs: list[list[tuple]] = []
-            for at in places:
-                if runs and runs[-1][-1][0] + 1 == at[0]:
-                    runs[-1].append(at)
-                else:
-                    runs.append([at])
-            for run in runs:
-                words = len(whole[run[0][1]: run[-1][2]].split())
-                if words < MIN_RUN:
-                    continue
-                duplicated += words
-                for i, (_, start, end, stays) in enumerate(run):
-                    if not stays:
-                        # short sentences between two removed paragraphs go with them
-                        if spans and i and not run[i - 1][3]:
-                            spans[-1]["end"] = end
-                        else:
-                            spans.append({"start": start, "end": end})
-            removed = sum(len(whole[s["start"]: s["end"]].split()) for s in spans)
+            found, windows = found.as_py() or [], windows.as_py() or []
+            if found or windows:
+                starts, ends, both, gone = _marked(whole, found, windows)
+                for x, y in zip(*_stretches(both), strict=True):
+                    if y - x < MIN_RUN:
+                        gone[x:y] = False
+                    else:
+                        duplicated += int(y - x)
+                spans = [{"start": int(starts[x]), "end": int(ends[y - 1])} for x, y in zip(*_stretches(gone), strict=True)]
+                removed = int(gone.sum())
             left, right = [0] + [s["end"] for s in spans], [s["start"] for s in spans] + [len(whole)]
             kept = b"".join(whole[x:y] for x, y in zip(left, right, strict=True)).decode()
             for column, value in zip(out, (None if not text.is_valid else kept, spans, duplicated, removed), strict=True):
@@ -214,8 +327,8 @@ def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lower-cased for comparison only. The place that stays is the first, by row and position. A null
     text stays null, an empty one empty; short texts have no paragraph. Repeated rows repeat each
     other's passages; null and repeated ids do not matter; further columns are ignored. Exact
-    repeats are always found, similar paragraphs with the probability above. Equal paragraphs
-    are compared once, so a very common one is no hot group.
+    repeats of MIN_RUN words are always found, similar paragraphs with the probability above.
+    Equal paragraphs are compared once, so a very common one is no hot group.
     """
     rows = c.with_row(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")))
     units, clusters = paragraph_clusters(rows.select("_row", "text"))
@@ -226,7 +339,8 @@ def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = c.stored(found.groupBy("_row").agg(F.collect_list("d").alias("found")), "passage-found")
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"_row long, _id {kind}, text string, spans array<struct<start:long,end:long>>, n_duplicated long, n_removed long"
-    cut = rows.join(found, "_row", "left").select("_row", "text", "found", "_id")
+    runs = c.stored(repeated_runs(rows.select("_row", "text")), "passage-windows")
+    cut = rows.join(found, "_row", "left").join(runs, "_row", "left").select("_row", "text", "found", "_id", "runs")
     return cut.mapInArrow(_cut, schema).withColumnRenamed("_id", id_col)
 
 

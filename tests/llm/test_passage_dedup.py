@@ -82,3 +82,31 @@ def test_null_ids_repeated_rows_and_empty_table(docs, prose):
     found = P.remove_passages(docs(rows, "doc_id long, text string, h int")).collect()
     assert sorted(r["n_removed"] > 0 for r in found) == [False, False, True]
     assert P.remove_passages(docs([])).collect() == []
+
+
+def test_passages_that_are_no_sentences_are_found(docs, prose):
+    plain = lambda n, seed: prose(n, seed, 10**6)
+    lines = lambda text, n=4: "\n".join(" ".join(text.split()[i: i + n]) for i in range(0, len(text.split()), n))
+    inside, marks, late = plain(30, 900), " ".join(w + "!" for w in plain(40, 901).split()), prose(70, 902, 35)
+    exact, verse, both = lines(plain(120, 903)), lines(plain(32, 904)), plain(25, 905)
+    tail = " ".join(late.split()[10:40])  # cut in the middle of two sentences
+    rows = [(1, f"{plain(50, 1)} {inside} {plain(50, 2)}"), (2, f"{plain(20, 3)} {inside} {plain(70, 4)}"), (3, marks), (4, prose(40, 5) + "\n" + marks),
+            (5, late), (6, f"{plain(15, 6)} {tail} {plain(15, 7)}"), (7, exact), (8, exact), (9, f"{plain(9, 8)}\n{verse}\n{plain(9, 9)}"),
+            (10, f"{plain(60, 10)} {' '.join(verse.split())} {plain(60, 11)}"), (11, f"{plain(40, 12)} {both} {plain(40, 13)} {both}"),
+            (12, f"{plain(24, 906)} {plain(30, 14)} {plain(24, 907)}"), (13, f"{plain(24, 906)} {plain(30, 15)} {plain(24, 907)}"), (14, "ho hum " * 100)]
+    found = {r["doc_id"]: r for r in P.remove_passages(stored_in_order(docs, rows)).collect()}
+    want = {2: 30, 4: 40, 6: 30, 8: 120, 10: 32, 11: 25, 14: 174}
+    assert {i: r["n_removed"] for i, r in found.items()} == {i: want.get(i, 0) for i, _ in rows}
+    assert {i: found[i]["n_duplicated"] for i in (1, 3, 5, 7, 9, 11, 12, 13)} == {1: 30, 3: 40, 5: 30, 7: 120, 9: 32, 11: 50, 12: 0, 13: 0}
+    assert found[2]["text"] == f"{plain(20, 3)}  {plain(70, 4)}"
+
+
+def test_every_run_of_equal_words_shares_a_print():
+    rng = random.Random(8)
+    for _ in range(200):
+        run = [f"w{rng.randint(0, 5)}" for _ in range(P.MIN_RUN)]
+        both = [" ".join([f"a{rng.randint(0, 9)}" for _ in range(rng.randint(0, 40))] + run + [f"b{rng.randint(0, 9)}" for _ in range(rng.randint(0, 40))]) for _ in range(2)]
+        data, offsets = c._joined([x.encode() for x in both])
+        doc, _, words = P._chunk_words(data, offsets, c.Powers())
+        at, hashed = P.prints(doc, words, c.Powers())
+        assert set(hashed[doc[at] == 0].tolist()) & set(hashed[doc[at] == 1].tolist())
