@@ -4,8 +4,9 @@ A paragraph is a sentence of a line with MIN_WORDS words or more, so that a pass
 in a line it stands. Distinct paragraphs get MinHash signatures of their 5-word shingles, in BANDS
 bands of ROWS hashes: at a similarity of 0.8 a pair meets in a band with probability
 1 - (1 - 0.8 ** ROWS) ** BANDS = 0.986, and in each of its other copies again. Pairs that meet are
-verified by exact Jaccard and joined to clusters. Of a cluster the first place in the corpus stays;
-other places are removed where they are part of a run of MIN_RUN duplicated words.
+verified by exact Jaccard and joined to clusters: each with the first of its band and the one before
+it, then all of a band that are still in different clusters. Of a cluster the first place in the
+corpus stays; other places are removed where they are part of a run of MIN_RUN duplicated words.
 
 Passages that do not line up with paragraphs are found word by word. Of every GRAMS consecutive
 windows of GRAM words the one with the least hash is a print, so that any MIN_RUN words hold a
@@ -16,6 +17,7 @@ the punctuation and the line breaks. Only the inside of a word repeated more tha
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +30,8 @@ from starloom.llm.components import components
 
 MIN_WORDS = 6
 MIN_RUN = 25  # words from the first to the last paragraph of a duplicated run
+BLOCK = 1024  # members of one band that are compared with as many others in one go
+SKETCH = ["k0", "k1"]  # 64-bit words of a parity sketch
 GRAM = 12  # words of a print
 GRAMS = MIN_RUN - GRAM + 1  # windows of which one is a print
 SHINGLE = 5
@@ -121,6 +125,12 @@ def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """As ``_met``, without the band."""
+    for batch in _met(batches):
+        yield batch.select(["a", "b"])
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (band, h): each paragraph of a band with the first one and with the one before it."""
     band = first = last = None
     for batch in batches:
@@ -133,8 +143,8 @@ def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lead[: int(np.argmax(new[1:]) + 1) if new[1:].any() else len(lead)] = first
         i = np.flatnonzero(~new & np.append(False, hs[1:] != hs[:-1]))
         a, b = np.concatenate((lead[i], hs[i - 1])), np.concatenate((hs[i], hs[i]))
-        pairs = np.unique(np.stack((a, b), axis=1)[a != b], axis=0)
-        yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+        pairs = np.unique(np.stack((np.append(bands[i], bands[i]), a, b), axis=1)[a != b], axis=0)
+        yield pa.record_batch([pa.array(pairs[:, k]) for k in range(3)], names=["band", "a", "b"])
         band, last, first = bands[-1:], hs[-1:], lead[-1]
 
 
@@ -227,14 +237,61 @@ def repeated_runs(texts: DataFrame) -> DataFrame:
     return found.groupBy("_row").agg(F.collect_list("r").alias("runs"))
 
 
+def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (band, lo, hi): pairs of different clusters that may be similar."""
+    kept: dict[str, np.ndarray] = {}
+    for batch in batches:
+        got = {name: np.asarray(batch.column(name)) for name in batch.schema.names}
+        if kept:
+            got = {k: np.concatenate((kept[k], v)) for k, v in got.items()}
+        change = np.logical_or.reduce([got[k] != got[k][-1:] for k in ("band", "lo", "hi")])
+        cut = int(np.flatnonzero(change)[-1]) + 1 if change.any() else 0
+        kept = {k: v[cut:] for k, v in got.items()}
+        if cut:
+            yield _compared({k: v[:cut] for k, v in got.items()})
+    if kept:
+        yield _compared(kept)
+
+
+def _compared(g: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """Each shingle that only one set has turns one bit, so bits apart never exceed those shingles."""
+    found, d = [np.zeros((0, 2), np.int64)], 1
+    while d < len(g["band"]) and (near := np.logical_and.reduce([g[k][d:] == g[k][:-d] for k in ("band", "lo", "hi")])).any():
+        i = np.flatnonzero(near & (g["comp"][d:] != g["comp"][:-d]) & ((g["block"][d:] != g["block"][:-d]) | (g["lo"][d:] == g["hi"][d:])))
+        bits = sum(np.bitwise_count((g[k][i] ^ g[k][i + d]).view(np.uint64)).astype(np.int64) for k in SKETCH)
+        i = i[bits * (DEN + NUM) <= (g["n"][i] + g["n"][i + d]) * (DEN - NUM)]
+        x, y = g["h"][i], g["h"][i + d]
+        found.append(np.stack((np.minimum(x, y), np.maximum(x, y)), axis=1))
+        d += 1
+    pairs = np.unique(np.concatenate(found), axis=0)
+    return pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+
+def _shingles(paragraph: bytes) -> set[tuple[bytes, ...]]:
+    words = paragraph.lower().split()
+    return set(zip(*(words[k:] for k in range(SHINGLE)), strict=False))
+
+
+def _sketch(shingles: set[tuple[bytes, ...]]) -> list[int]:
+    """Parity of the shingles on each of 128 bits, as two signed numbers."""
+    bits = 0
+    for shingle in shingles:
+        bits ^= 1 << (zlib.crc32(b" ".join(shingle)) & 127)
+    return np.array([bits & (1 << 64) - 1, bits >> 64], np.uint64).view(np.int64).tolist()
+
+
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, spans) to (h, paragraph)."""
+    """(text, spans) to (h, paragraph, number of shingles, sketch)."""
     for batch in batches:
         for i in range(batch.num_rows):
             text = batch.column(0)[i].as_py().encode()
             h, start, end = batch.column(1).slice(i, 1).flatten().flatten()
             cut = [text[s:e] for s, e in zip(start.to_pylist(), end.to_pylist(), strict=True)]
-            yield pa.record_batch([h, pa.array(cut, pa.binary())], names=["h", "paragraph"])
+            sets = [_shingles(p) for p in cut]
+            sketch = np.array([_sketch(x) for x in sets], np.int64).reshape(-1, 2)
+            yield pa.record_batch(
+                [h, pa.array(cut, pa.binary()), pa.array([len(x) for x in sets], pa.int64()), pa.array(sketch[:, 0]), pa.array(sketch[:, 1])],
+                names=["h", "paragraph", "n", *SKETCH])
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,7 +300,7 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b, x, y = (batch.column(i).to_pylist() for i in range(4))
         good = []
         for i, (p, q) in enumerate(zip(x, y, strict=True)):
-            s, t = (set(zip(*(w[k:] for k in range(SHINGLE)), strict=False)) for w in (p.lower().split(), q.lower().split()))
+            s, t = _shingles(p), _shingles(q)
             if DEN * len(s & t) >= NUM * len(s | t):
                 good.append(i)
         yield pa.record_batch([pa.array([a[i] for i in good], pa.int64()), pa.array([b[i] for i in good], pa.int64())], names=["a", "b"])
@@ -306,16 +363,40 @@ def paragraph_clusters(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(units, clusters): every paragraph of (_row, text), and (h, comp) of paragraphs similar to another one."""
     units = c.stored(texts.mapInArrow(_unit_rows, "_row long, h long, place int, start long, end long, word long").drop("word"), "passage-units")
     bands = texts.select("text").mapInArrow(_band_rows, "band long, h long")
-    pairs = bands.repartition("band").sortWithinPartitions("band", "h").mapInArrow(_meeting, "a long, b long").distinct()
-    pairs = c.stored(pairs, "passage-pairs")
+    met = c.stored(bands.repartition("band").sortWithinPartitions("band", "h").mapInArrow(_met, "band long, a long, b long"), "passage-met")
+    pairs = c.stored(met.select("a", "b").distinct(), "passage-pairs")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
     where = units.join(needed, "h", "left_semi").groupBy("h").agg(F.min(F.struct("_row", "start", "end")).alias("at"))
     where = where.groupBy("at._row").agg(F.collect_list(F.struct("h", "at.start", "at.end")).alias("spans"))
-    paragraphs = c.stored(texts.join(where, "_row").select("text", "spans").mapInArrow(_slices, "h long, paragraph binary"), "passage-texts")
+    sliced = texts.join(where, "_row").select("text", "spans").mapInArrow(_slices, "h long, paragraph binary, n long, k0 long, k1 long")
+    paragraphs = c.stored(sliced, "passage-texts")
+    links = _verified(pairs, paragraphs, "passage-links")
+    clusters = components(links, "a", "b", "passage")
+
+    members = met.select("band", F.explode(F.array("a", "b")).alias("h")).distinct()
+    placed = members.join(clusters.withColumnRenamed("node", "h"), "h", "left").select("band", "h", F.coalesce("component", "h").alias("comp"))
+    placed = c.stored(placed, "passage-members")
+    mixed = placed.groupBy("band").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("size")).where("c0 < c1 and size > 2")
+    mixed = mixed.select("band", F.ceil(F.col("size") / BLOCK).cast("long").alias("blocks"))
+    dealt = (
+        placed.join(mixed, "band").join(paragraphs.select("h", "n", *SKETCH), "h")
+        .withColumn("block", F.pmod(F.xxhash64("h"), F.col("blocks")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .select("band", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "h", "comp", "n", *SKETCH)
+        .repartition("band", "lo", "hi").sortWithinPartitions("band", "lo", "hi", "block", "h")
+    )
+    rest = dealt.mapInArrow(_apart, "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti")
+    more = _verified(rest, paragraphs, "passage-more")
+    if not more.isEmpty():
+        clusters = components(links.unionByName(more), "a", "b", "passage")
+    return units, clusters.select(F.col("node").alias("h"), F.col("component").alias("comp"))
+
+
+def _verified(pairs: DataFrame, paragraphs: DataFrame, label: str) -> DataFrame:
+    """The (a, b) whose paragraphs are similar."""
     both = pairs.join(paragraphs.select(F.col("h").alias("a"), F.col("paragraph").alias("pa")), "a")
     both = both.join(paragraphs.select(F.col("h").alias("b"), F.col("paragraph").alias("pb")), "b").select("a", "b", "pa", "pb")
-    links = both.mapInArrow(_similar, "a long, b long")
-    return units, components(links, "a", "b", "passage").select(F.col("node").alias("h"), F.col("component").alias("comp"))
+    return c.stored(both.mapInArrow(_similar, "a long, b long"), label)
 
 
 def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,5 +1,8 @@
 import random
 
+import numpy as np
+import pyarrow as pa
+import pytest
 from starloom.llm import common as c
 from starloom.llm import passage_dedup as P
 from starloom.session import materialise
@@ -110,3 +113,25 @@ def test_every_run_of_equal_words_shares_a_print():
         doc, _, words = P._chunk_words(data, offsets, c.Powers())
         at, hashed = P.prints(doc, words, c.Powers())
         assert set(hashed[doc[at] == 0].tolist()) & set(hashed[doc[at] == 1].tolist())
+
+
+@pytest.mark.parametrize("block", [1024, 2])
+def test_similar_members_of_a_band_behind_a_dissimilar_leader(docs, prose, monkeypatch, block):
+    """All paragraphs meet in one band; two that are similar are neither its first nor neighbours."""
+    def one_band(batches):
+        for batch in batches:
+            for _, data, offsets in c.chunks(batch.column(0)):
+                h = np.unique(P.Paragraphs(data, offsets, c.Powers()).hashed)
+                yield pa.record_batch([pa.array(np.full(len(h), 7)), pa.array(c.signed(h))], names=["band", "h"])
+
+    monkeypatch.setattr(P, "BLOCK", block)
+    monkeypatch.setattr(P, "_band_rows", one_band)
+    data, offsets = c._joined([(prose(40, i, 40)).encode() for i in range(12)])
+    order = np.argsort(c.signed(P.Paragraphs(data, offsets, c.Powers()).hashed))
+    base = prose(40, int(order[5]), 40).split()
+    copies = [" ".join([f"new{k}", *base[1:]]) for k in range(8)]
+    rows = [(i, prose(40, i, 40)) for i in range(12)] + [(100 + k, x) for k, x in enumerate(copies)]
+    units, clusters = P.paragraph_clusters(docs(rows).selectExpr("doc_id as _row", "text"))
+    found = {r["h"]: r["comp"] for r in clusters.collect()}
+    alike = {r["h"] for r in units.collect() if r["_row"] >= 100 or r["_row"] == order[5]}
+    assert found.keys() == alike and len(set(found.values())) == 1
