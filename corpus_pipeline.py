@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.llm.common import stored, with_row
-from starloom.llm.jaccard_join import jaccard_classes
+from starloom.llm.jaccard_join import Rule, jaccard_classes
 from starloom.llm.mixing import mix_sources
 from starloom.llm.packing import pack_documents
 from starloom.llm.pseudonyms import QUERY_KEY, pseudonymise
 from starloom.llm.quality import judge_quality, trusted_ids
 
 
+NEAR = Rule(shingle=5, num=4, den=5)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the quality rules reject; trusted text is what ``labels`` calls good."""
     trusted = trusted_ids(spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -19,8 +22,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked shingle sets: the one with the smallest id."""
-    stay = jaccard_classes(docs).where("_row = class_row").select("_row")
+    """One document of each group of linked sets of 5-word shingles, Jaccard 0.8 or more: the one with the smallest id."""
+    stay = jaccard_classes(docs, rule=NEAR).where("_row = class_row").select("_row")
     return with_row(docs.drop("_row")).join(stay, "_row", "left_semi").select(*docs.columns)
 
 

@@ -1,7 +1,8 @@
 """N-gram Jaccard join with PartEnum signatures.
 
-A document is the set of its distinct 3-word shingles. Sets whose sizes may pair share size bands
-of ratio 10/9; in band t two sets with Jaccard >= 9/10 differ in at most k = floor(2 r / 19)
+A document is the set of its distinct shingles, of 3 words unless a rule says otherwise. Two sets
+link at Jaccard >= num / den, 9/10 by default. Sets whose sizes may pair share size bands of ratio
+den / num; in band t linked sets differ in at most k = floor(2 r (den - num) / (den + num))
 shingles, r being the largest size of the band. The hashed shingle domain is cut into
 n1 = ceil((k + 1) / 2) parts of three sub-parts. By the pigeonhole rule one part differs in at most
 one shingle, so two of its three sub-parts are equal: the three pairs of sub-parts of every part
@@ -10,7 +11,8 @@ are the signatures, and linked sets share at least one of them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -25,20 +27,39 @@ SHINGLE = 3
 WORDS = 8  # 64-bit words of the parity sketch
 BLOCK = 1024  # members of one bucket that are compared with as many others in one go
 CODES = c.byte_codes(101)
-MULTIPLIERS = c.mix(np.arange(11, 11 + SHINGLE, dtype=np.uint64)) | np.uint64(1)
+Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
-def _bands(limit: int = 1 << 40) -> np.ndarray:
+def _bands(num: int, den: int, limit: int = 1 << 40) -> np.ndarray:
     low = [1]
     while low[-1] < limit:
-        low.append(low[-1] * DEN // NUM + 1)
+        low.append(low[-1] * den // num + 1)
     return np.array(low, np.int64)
 
 
-LOWS = _bands()
+@dataclass(frozen=True)
+class Rule:
+    """Words of a shingle, and the least Jaccard num / den of a link."""
 
+    shingle: int = SHINGLE
+    num: int = NUM
+    den: int = DEN
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, pw: c.Powers) -> tuple[np.ndarray, np.ndarray]:
+    def __post_init__(self) -> None:
+        if not (self.shingle >= 1 and 0 < self.num < self.den):
+            raise ValueError("a shingle has a word or more, and a threshold lies between 0 and 1")
+
+    @property
+    def lows(self) -> np.ndarray:
+        """The smallest size of each band."""
+        return LOWS if (self.num, self.den) == (NUM, DEN) else _bands(self.num, self.den)
+
+
+LOWS = _bands(NUM, DEN)
+RULE = Rule()
+
+
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, pw: c.Powers, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """(document, shingle hash) of the distinct shingles of each text, sorted."""
     data = c.lower_ascii(data)
     starts, ends = c.word_bounds(data)
@@ -48,13 +69,14 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, pw: c.Powers) -> tuple[n
     first = np.concatenate(([0], np.cumsum(count)))[:-1]
     place = np.arange(len(words)) - first[doc]
     # shorter texts: the whole sequence, told apart from full shingles by its length
-    width = np.minimum(count[doc], SHINGLE)
+    width = np.minimum(count[doc], shingle)
     begins = place + width <= count[doc]
     at = np.flatnonzero(begins)
     total = width[at].astype(np.uint64)
-    for i in range(SHINGLE):
+    multipliers = c.mix(np.arange(11, 11 + shingle, dtype=np.uint64)) | np.uint64(1)
+    for i in range(shingle):
         has = width[at] > i
-        total[has] += words[at[has] + i] * MULTIPLIERS[i]
+        total[has] += words[at[has] + i] * multipliers[i]
     hashed, doc = c.mix(total), doc[at]
     order = np.lexsort((hashed, doc))
     hashed, doc = hashed[order], doc[order]
@@ -69,10 +91,12 @@ def _sums(doc: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _signatures(doc: np.ndarray, hashed: np.ndarray, band: np.ndarray, use: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _signatures(
+    doc: np.ndarray, hashed: np.ndarray, band: np.ndarray, use: np.ndarray, whole: np.ndarray, rule: Rule = RULE
+) -> tuple[np.ndarray, np.ndarray]:
     """(document, signature) under one band for each document in use."""
-    top = LOWS[band] * DEN // NUM
-    k = (DEN - NUM) * 2 * top // (DEN + NUM)
+    top = rule.lows[band] * rule.den // rule.num
+    k = (rule.den - rule.num) * 2 * top // (rule.den + rule.num)
     parts = np.where(use & (k > 0), (k + 2) // 2, 0)
     base = np.concatenate(([0], np.cumsum(parts * 3)))
     mine = parts[doc] > 0
@@ -93,116 +117,128 @@ def _signatures(doc: np.ndarray, hashed: np.ndarray, band: np.ndarray, use: np.n
     return np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows])
 
 
-def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def set_rows(rule: Rule = RULE) -> Batches:
     """(_row, text) to (_row, n, sid, check, k0 .., sigs)."""
-    pw = c.Powers()
-    for batch in batches:
-        for first, data, offsets in c.chunks(batch.column(1)):
-            docs = len(offsets) - 1
-            doc, hashed = shingle_sets(data, offsets, pw)
-            n = np.bincount(doc, minlength=docs)
-            size = n.astype(np.uint64)
-            sid = c.mix(_sums(doc, c.mix(hashed ^ np.uint64(0xA5A5)), docs) + size)
-            check = c.mix(_sums(doc, c.mix(hashed ^ np.uint64(0xC3C3C3)), docs) + size)
-            bits = np.bincount(doc * (WORDS * 64) + (hashed >> np.uint64(40)).astype(np.int64) % (WORDS * 64), minlength=docs * WORDS * 64)
-            sketch = np.packbits((bits & 1).astype(bool).reshape(docs, -1), axis=1).view(np.int64)
-            band = np.maximum(np.searchsorted(LOWS, n, "right") - 1, 0)
-            owners, sigs = zip(
-                _signatures(doc, hashed, band, n > 0, sid),
-                # a larger partner may lie in the next band
-                _signatures(doc, hashed, band + 1, (n > 0) & (n * DEN // NUM >= LOWS[band + 1]), sid),
-                strict=True,
-            )
-            owner, sig = np.concatenate(owners), np.concatenate(sigs)
-            order = np.argsort(owner, kind="stable")
-            ends = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=docs))))
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(c.signed(sig[order])))
-            yield pa.record_batch(
-                [batch.column(0).slice(first, docs), pa.array(n, pa.int64()), pa.array(c.signed(sid)), pa.array(c.signed(check))]
-                + [pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(WORDS)] + [lists],
-                names=["_row", "n", "sid", "check", *SKETCH, "sigs"],
-            )
+    lows = rule.lows
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pw = c.Powers()
+        for batch in batches:
+            for first, data, offsets in c.chunks(batch.column(1)):
+                docs = len(offsets) - 1
+                doc, hashed = shingle_sets(data, offsets, pw, rule.shingle)
+                n = np.bincount(doc, minlength=docs)
+                size = n.astype(np.uint64)
+                sid = c.mix(_sums(doc, c.mix(hashed ^ np.uint64(0xA5A5)), docs) + size)
+                check = c.mix(_sums(doc, c.mix(hashed ^ np.uint64(0xC3C3C3)), docs) + size)
+                bits = np.bincount(doc * (WORDS * 64) + (hashed >> np.uint64(40)).astype(np.int64) % (WORDS * 64), minlength=docs * WORDS * 64)
+                sketch = np.packbits((bits & 1).astype(bool).reshape(docs, -1), axis=1).view(np.int64)
+                band = np.maximum(np.searchsorted(lows, n, "right") - 1, 0)
+                owners, sigs = zip(
+                    _signatures(doc, hashed, band, n > 0, sid, rule),
+                    # a larger partner may lie in the next band
+                    _signatures(doc, hashed, band + 1, (n > 0) & (n * rule.den // rule.num >= lows[band + 1]), sid, rule),
+                    strict=True,
+                )
+                owner, sig = np.concatenate(owners), np.concatenate(sigs)
+                order = np.argsort(owner, kind="stable")
+                ends = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=docs))))
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(c.signed(sig[order])))
+                yield pa.record_batch(
+                    [batch.column(0).slice(first, docs), pa.array(n, pa.int64()), pa.array(c.signed(sid)), pa.array(c.signed(check))]
+                    + [pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(WORDS)] + [lists],
+                    names=["_row", "n", "sid", "check", *SKETCH, "sigs"],
+                )
+
+    return run
 
 
 SKETCH = [f"k{i}" for i in range(WORDS)]
 SET_SCHEMA = "_row long, n long, sid long, check long, " + ", ".join(f"{k} long" for k in SKETCH) + ", sigs array<long>"
 
 
-def _near(na, nb, distance):
-    """What holds for every linked pair: sizes within 9/10, and few sketch bits apart.
+def _near(na, nb, distance, rule: Rule):
+    """What holds for every linked pair: sizes within the threshold, and few sketch bits apart.
 
     Each shingle that only one set has turns one bit, so bits apart never exceed those shingles.
     """
-    return (DEN * F.least(na, nb) >= NUM * F.greatest(na, nb)) & (distance * (DEN + NUM) <= (na + nb) * (DEN - NUM))
+    return (rule.den * F.least(na, nb) >= rule.num * F.greatest(na, nb)) & (distance * (rule.den + rule.num) <= (na + nb) * (rule.den - rule.num))
 
 
-def _pruned(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _pruned(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     """(a, b, row_a, row_b) of the pairs that may link."""
     for side in "ab":
         pairs = pairs.join(
             nodes.select(F.col("sid").alias(side), F.col("n").alias(f"n{side}"), F.col("rep").alias(f"row_{side}"),
                          *[F.col(k).alias(f"{side}{k}") for k in SKETCH]), side)
     apart = sum((F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}"))) for k in SKETCH), F.lit(0))
-    return pairs.where(_near(F.col("na"), F.col("nb"), apart)).select("a", "b", "row_a", "row_b")
+    return pairs.where(_near(F.col("na"), F.col("nb"), apart, rule)).select("a", "b", "row_a", "row_b")
 
 
-def _links(pairs: DataFrame, texts: DataFrame, label: str) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame, label: str, rule: Rule) -> DataFrame:
     """The pairs (a, b, row_a, row_b) whose sets link, from the whole texts."""
     pairs = c.stored(pairs, f"{label}-pairs")
     needed = pairs.select(F.explode(F.array("row_a", "row_b")).alias("_row")).distinct()
     used = c.stored(texts.join(needed, "_row", "left_semi"), f"{label}-texts")
     for side in "ba":
         pairs = pairs.join(used.select(F.col("_row").alias(f"row_{side}"), F.col("text").alias(f"text_{side}")), f"row_{side}")
-    return c.stored(pairs.select("a", "b", "text_a", "text_b").mapInArrow(_verified, "a long, b long"), f"{label}-links")
-
-
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pw = c.Powers()
-    for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
-            a, b = (np.asarray(part.column(i)) for i in (0, 1))
-            nodes, place = np.unique(np.concatenate((a, b)), return_index=True)
-            both = pa.chunked_array([part.column(2), part.column(3)]).take(pa.array(place)).combine_chunks()
-            sets: dict[int, np.ndarray] = {}
-            for first, data, offsets in c.chunks(both):
-                doc, hashed = shingle_sets(data, offsets, pw)
-                cuts = np.searchsorted(doc, np.arange(len(offsets)))
-                for i in range(len(offsets) - 1):
-                    sets[int(nodes[first + i])] = hashed[cuts[i]: cuts[i + 1]]
-            good = np.zeros(len(a), bool)
-            for i, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
-                common = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
-                good[i] = DEN * common >= NUM * (len(sets[x]) + len(sets[y]) - common)
-            yield pa.record_batch([pa.array(a[good]), pa.array(b[good])], names=["a", "b"])
-
-
-def _bucket_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return c.stored(pairs.select("a", "b", "text_a", "text_b").mapInArrow(_verified(rule), "a long, b long"), f"{label}-links")
+
+
+def _verified(rule: Rule) -> Batches:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pw = c.Powers()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                a, b = (np.asarray(part.column(i)) for i in (0, 1))
+                nodes, place = np.unique(np.concatenate((a, b)), return_index=True)
+                both = pa.chunked_array([part.column(2), part.column(3)]).take(pa.array(place)).combine_chunks()
+                sets: dict[int, np.ndarray] = {}
+                for first, data, offsets in c.chunks(both):
+                    doc, hashed = shingle_sets(data, offsets, pw, rule.shingle)
+                    cuts = np.searchsorted(doc, np.arange(len(offsets)))
+                    for i in range(len(offsets) - 1):
+                        sets[int(nodes[first + i])] = hashed[cuts[i]: cuts[i + 1]]
+                good = np.zeros(len(a), bool)
+                for i, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
+                    common = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                    good[i] = rule.den * common >= rule.num * (len(sets[x]) + len(sets[y]) - common)
+                yield pa.record_batch([pa.array(a[good]), pa.array(b[good])], names=["a", "b"])
+
+    return run
+
+
+def _bucket_pairs(rule: Rule) -> Batches:
     """Rows sorted by (sig, lo, hi): pairs of different components that may link."""
-    kept: dict[str, np.ndarray] = {}
-    for batch in batches:
-        got = {name: np.asarray(batch.column(name)) for name in batch.schema.names}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[str, np.ndarray] = {}
+        for batch in batches:
+            got = {name: np.asarray(batch.column(name)) for name in batch.schema.names}
+            if kept:
+                got = {k: np.concatenate((kept[k], v)) for k, v in got.items()}
+            change = (got["sig"] != got["sig"][-1]) | (got["lo"] != got["lo"][-1]) | (got["hi"] != got["hi"][-1])
+            cut = int(np.flatnonzero(change)[-1]) + 1 if change.any() else 0
+            kept = {k: v[cut:] for k, v in got.items()}
+            if cut:
+                yield _compared({k: v[:cut] for k, v in got.items()}, rule)
         if kept:
-            got = {k: np.concatenate((kept[k], v)) for k, v in got.items()}
-        change = (got["sig"] != got["sig"][-1]) | (got["lo"] != got["lo"][-1]) | (got["hi"] != got["hi"][-1])
-        cut = int(np.flatnonzero(change)[-1]) + 1 if change.any() else 0
-        kept = {k: v[cut:] for k, v in got.items()}
-        if cut:
-            yield _compared({k: v[:cut] for k, v in got.items()})
-    if kept:
-        yield _compared(kept)
+            yield _compared(kept, rule)
+
+    return run
 
 
-def _compared(g: dict[str, np.ndarray]) -> pa.RecordBatch:
+def _compared(g: dict[str, np.ndarray], rule: Rule) -> pa.RecordBatch:
     sketch = np.stack([g[k] for k in SKETCH], axis=1).view(np.uint64)
     same = lambda d: (g["sig"][d:] == g["sig"][:-d]) & (g["lo"][d:] == g["lo"][:-d]) & (g["hi"][d:] == g["hi"][:-d])
     found, d = [], 1
     while d < len(g["sig"]) and (near := same(d)).any():
         i = np.flatnonzero(near & (g["comp"][d:] != g["comp"][:-d]) & ((g["block"][d:] != g["block"][:-d]) | (g["lo"][d:] == g["hi"][d:])))
         na, nb = g["n"][i], g["n"][i + d]
-        i = i[DEN * np.minimum(na, nb) >= NUM * np.maximum(na, nb)]
+        i = i[rule.den * np.minimum(na, nb) >= rule.num * np.maximum(na, nb)]
         apart = np.bitwise_count(sketch[i] ^ sketch[i + d]).sum(axis=1, dtype=np.int64)
-        i = i[apart * (DEN + NUM) <= (g["n"][i] + g["n"][i + d]) * (DEN - NUM)]
+        i = i[apart * (rule.den + rule.num) <= (g["n"][i] + g["n"][i + d]) * (rule.den - rule.num)]
         x, y = g["sid"][i], g["sid"][i + d]
         found.append(np.stack((np.minimum(x, y), np.maximum(x, y)), axis=1))
         d += 1
@@ -210,13 +246,13 @@ def _compared(g: dict[str, np.ndarray]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
-def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = RULE) -> DataFrame:
     """(_row, id, n_shingles, class_row, component_id) for every row of a stored table.
 
-    Words are runs without ASCII white space, A-Z lower-cased. Two rows link when Jaccard >= 9/10;
-    rows with equal sets always do. ``component_id`` is the smallest id reachable by links,
+    Words are runs without ASCII white space, A-Z lower-cased. Two rows link when the Jaccard of their
+    sets of ``rule.shingle`` words is ``rule.num / rule.den`` or more; rows with equal sets always do. ``component_id`` is the smallest id reachable by links,
     ``class_row`` the row it belongs to (smallest row among equal ids). A null text, or one without
-    words, has no shingles and is linked with nothing; a text of one or two words is one shingle.
+    words, has no shingles and is linked with nothing; a text shorter than a shingle is one shingle.
     Repeated rows and repeated or null ids stay rows of their own; a null id ranks last. Further
     columns are ignored. No row is dropped and no bucket is capped.
 
@@ -227,7 +263,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = c.with_row(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")))
     texts = rows.select("_row", "text")
-    sets = c.stored(texts.mapInArrow(set_rows, SET_SCHEMA), "jaccard-sets")
+    sets = c.stored(texts.mapInArrow(set_rows(rule), SET_SCHEMA), "jaccard-sets")
     nodes = c.stored(
         sets.where("n > 0").groupBy("sid").agg(
             F.min("_row").alias("rep"), F.max("n").alias("n"), (F.min("check") != F.max("check")).alias("clash"),
@@ -239,8 +275,8 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = c.stored(signed_sets.join(buckets.select("sig", "center"), "sig").distinct(), "jaccard-members")
 
     star = members.where("center < sid").select(F.col("center").alias("a"), F.col("sid").alias("b")).distinct()
-    star = c.stored(_pruned(star, nodes), "jaccard-star")
-    links = _links(star, texts, "jaccard-star")
+    star = c.stored(_pruned(star, nodes, rule), "jaccard-star")
+    links = _links(star, texts, "jaccard-star", rule)
     comps = components(links, "a", "b", "jaccard")
 
     placed = members.join(comps.withColumnRenamed("node", "sid"), "sid", "left").select(
@@ -254,11 +290,11 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .select("sig", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "sid", "comp", "n", *SKETCH)
         .repartition("sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi", "block", "sid")
     )
-    rest = dealt.mapInArrow(_bucket_pairs, "a long, b long").distinct()
+    rest = dealt.mapInArrow(_bucket_pairs(rule), "a long, b long").distinct()
     rest = rest.join(star.select("a", "b"), ["a", "b"], "left_anti")
     for side in "ab":
         rest = rest.join(nodes.select(F.col("sid").alias(side), F.col("rep").alias(f"row_{side}")), side)
-    more = _links(rest.select("a", "b", "row_a", "row_b"), texts, "jaccard-rest")
+    more = _links(rest.select("a", "b", "row_a", "row_b"), texts, "jaccard-rest", rule)
     if not more.isEmpty():
         comps = components(links.unionByName(more), "a", "b", "jaccard")
 

@@ -94,3 +94,27 @@ def test_sets_of_one_text(text):
     data, offsets = c._joined([text.encode()])
     doc, hashed = J.shingle_sets(data, offsets, c.Powers())
     assert len(hashed) == len(shingles(text)) and (doc == 0).all()
+
+
+def test_five_words_at_four_fifths_match_brute_force(docs, prose):
+    import random
+
+    rng, rows = random.Random(5), []
+    for n in (12, 40, 150):
+        base = prose(n, n).split()
+        for _ in range(14):
+            copy = list(base)
+            for at in rng.sample(range(n), rng.randint(0, max(1, n // 30))):
+                copy[at] = f"edit{rng.randint(0, 9)}"
+            rows.append((len(rows), " ".join(copy)))
+    rows += [(100 + k, t) for k, t in enumerate(("one two three four", "ONE two three four", "one two three", "", None))]
+    words = [(t or "").lower().encode().split() for _, t in rows]
+    sets = [set(zip(*(w[k:] for k in range(5)), strict=False)) if len(w) >= 5 else {tuple(w)} if w else set() for w in words]
+    root = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and sets[b] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                root = [min(root[a], root[b]) if r in (root[a], root[b]) else r for r in root]
+    want = [(i, len(sets[k]), rows[root[k]][0]) for k, (i, _) in enumerate(rows)]
+    found = J.jaccard_classes(docs(rows), rule=J.Rule(5, 4, 5)).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, found)) == want

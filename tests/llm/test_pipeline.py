@@ -66,3 +66,18 @@ def test_stages_keep_their_contract(spark, sf):
 def test_run_is_all_stages(spark, sf):
     found = corpus_pipeline.run(spark, sf)
     assert found.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] and found.count() > 50
+
+
+def test_near_copies_at_five_words_and_four_fifths_go(spark, docs, prose):
+    base = prose(120, 3).split()
+    copies = []
+    for places in ((20, 80), (10, 60, 110)):  # 5-word Jaccard 106/126 and 101/131, 3-word 112/124 and 109/127
+        copies.append(" ".join(f"edit{i}" if i in places else w for i, w in enumerate(base)))
+    stage = dict(corpus_pipeline.STAGES)["n-gram Jaccard join"]
+    stay = stage(spark, docs([(0, " ".join(base)), (1, copies[0]), (2, copies[1]), (3, prose(120, 4))]), "")
+    assert sorted(r["doc_id"] for r in stay.collect()) == [0, 2, 3]
+    assert stay.columns == ["doc_id", "text"]
+    # three edits in 140 words: 121/151 is 5-word 0.801, 3-word 129/147 is 0.878
+    base = prose(140, 5).split()
+    edited = " ".join(f"edit{i}" if i in (30, 70, 110) else w for i, w in enumerate(base))
+    assert [r["doc_id"] for r in stage(spark, docs([(0, " ".join(base)), (1, edited)]), "").collect()] == [0]
