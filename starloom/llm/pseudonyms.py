@@ -26,23 +26,27 @@ DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKL
 HEX = "0123456789abcdef"
 
 # What is looked for. Groups named after the kinds; the order decides where two could match.
-PATTERN = regex.compile(
-    r"""
+SOURCE = r"""
     (?P<email>(?<![\w.+-])[A-Za-z0-9][\w.+-]{0,63}@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,24}(?![\w-]))
   | (?P<assigned>(?i:password|passwd|pwd|secret|token|api[_-]?key)\s?[=:]\s?["']?\K[A-Za-z0-9_\-/+.]{6,128}(?=["']|\b))
   | (?P<access>(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9]))
   | (?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:\ ?[A-Z0-9]{4}){2,7}(?:\ ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))
   | (?P<ip>(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d))
-  | (?P<iso>(?<![\w/-])\d{4}-\d{2}-\d{2}(?![\w/-]))
+  | (?P<iso>(?<![\w/-])\d{4}-\d{2}-\d{2}(?=T\d{2}(?::?\d{2}|(?!\w))|(?![\w/-])))
   | (?P<slash>(?<![\w/])\d{1,2}/\d{1,2}/\d{4}(?![\w/]))
   | (?P<dotted>(?<![\w.])\d{1,2}\.\d{1,2}\.\d{4}(?!\w|\.\d))
   | (?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))
   | (?P<card>(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-]|\.\d))
   | (?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?![\w-]|\.\d)
             |(?<![\w+])\+\d{8,15}(?!\w))
-    """,
-    regex.VERBOSE,
-)
+"""
+PATTERN = regex.compile(SOURCE, regex.VERBOSE)
+KINDS = regex.findall(r"\(\?P<(\w+)>", SOURCE)
+# what may stand at a place where a match of each kind was no value
+LATER = {kind: regex.compile(SOURCE[SOURCE.index(f"(?P<{after}>"):], regex.VERBOSE) for kind, after in zip(KINDS, KINDS[1:], strict=False)}
+GROUP = regex.compile(r"[A-Za-z0-9]+")
+# lengths and first digits that issuers use
+ISSUED = regex.compile(r"4(?:\d{12}|\d{15}|\d{18})|(?:5[1-5]|2[2-7])\d{14}|3[47]\d{13}|3(?:0[0-5]|[68]\d)\d{11}|(?:35|6[0-9])\d{14,17}")
 HINT = regex.compile(r"[0-9@]|(?i:password|passwd|pwd|secret|token|key)\s?[=:]")
 
 
@@ -134,18 +138,54 @@ class Pseudonyms:
         if not HINT.search(text):
             return text, []
         out, spans, last, size = [], [], 0, 0
-        for match in PATTERN.finditer(text):
-            kind, value = match.lastgroup, match[0]
-            new = self.value(kind, value)
-            if new is None:
-                continue
-            out += (text[last: match.start()], new)
-            size += match.start() - last
+        for kind, start, end in self.found(text):
+            new = self.value(kind, text[start:end])
+            out += (text[last:start], new)
+            size += start - last
             spans.append((kind, size, size + len(new)))
             size += len(new)
-            last = match.end()
+            last = end
         return "".join([*out, text[last:]]), spans
 
+    def found(self, text: str) -> Iterator[tuple[str, int, int]]:
+        """(kind, start, end) of the values of a text.
+
+        Where a match is no value, a shorter run of its groups may be one, or a match of a later kind
+        at its place; otherwise the search goes on behind the first group of the match.
+        """
+        match = PATTERN.search(text)
+        while match:
+            kind, (start, end) = match.lastgroup, match.span()
+            span = (start, end) if self.value(kind, match[0]) is not None else self._inside(kind, text, start, end)
+            if span:
+                yield kind, *span
+                match = PATTERN.search(text, span[1])
+            else:
+                later = LATER[kind].match(text, start) if kind in LATER else None
+                match = later or PATTERN.search(text, GROUP.search(text, start).end())
+
+    def _inside(self, kind: str, text: str, start: int, end: int) -> tuple[int, int] | None:
+        """The shorter run of whole groups of a rejected card or IBAN that is a value, the likeliest if there are several."""
+        if kind not in ("card", "iban"):
+            return None
+        groups = [m.span() for m in GROUP.finditer(text, start, end)]
+        runs = []
+        for i, (x, _) in enumerate(groups if kind == "card" else groups[:1]):
+            for _, y in groups[i:]:
+                digits = "".join(GROUP.findall(text, x, y))
+                if kind == "iban":
+                    good = self._iban(text[x:y]) is not None
+                else:
+                    good = 13 <= len(digits) <= 19 and luhn_digit(digits[:-1]) == digits[-1]
+                if good:
+                    # what a hyphen joins belongs together
+                    issued, whole = ISSUED.fullmatch(digits) is not None, "-" not in (text[x - 1: x], text[y: y + 1])
+                    runs.append((issued and whole, issued, whole, y - x, -x, y))
+        if not runs:
+            return None
+        *_, x, y = max(runs)
+        return -x, y
+
     def value(self, kind: str, value: str) -> str | None:
         if (kind, value) not in self.known:
             if len(self.known) > 100_000:

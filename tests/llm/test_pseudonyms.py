@@ -79,3 +79,23 @@ def test_table(docs):
     assert [t for i, t in by if i in (0, 3, 4)] == [None, "", "clean " * 9000]
     assert len({t for i, t in by if i == 1}) == 1 and "a.b@c.org" not in by[1][1]
     assert P.pseudonymise(docs([]), b"key").collect() == []
+
+
+@pytest.mark.parametrize(("text", "value", "kind"), [
+    ("4111 1111 1111 1111 12/26", "4111 1111 1111 1111", "card"), ("4111111111111111 123", "4111111111111111", "card"),
+    ("no 12 4111111111111111 ok", "4111111111111111", "card"), ("1 2 3 4 5 4111-1111-1111-1111 7 8 9", "4111-1111-1111-1111", "card"),
+    ("AB12 4111 1111 1111 1111", "4111 1111 1111 1111", "card"), ("BE68 5390 0754 7034 EUR", "BE68 5390 0754 7034", "iban"),
+    ("BE68 5390 0754 7034 2024", "BE68 5390 0754 7034", "iban"), ("12345678 555 123 4567", "555 123 4567", "phone"),
+    ("at 2024-01-31T10:00 sharp", "2024-01-31", "iso"), ("2024-01-31T10:00:59.5Z", "2024-01-31", "iso"), ("2024-01-31T10", "2024-01-31", "iso")])
+def test_values_beside_other_numbers(text, value, kind):
+    new, spans = names().text(text)
+    before, after = text.split(value)
+    assert value not in new and [k for k, _, _ in spans] == [kind]
+    assert new.startswith(before) and new.endswith(after) and len(new) == len(text)
+    _, start, end = spans[0]
+    assert (start, end) == (len(before), len(text) - len(after))
+
+
+@pytest.mark.parametrize("text", ["2024-01-31Tonight", "2019-02-30T10:00", "0000 0000 0000 0001 22", "999.1.2.3 10"])
+def test_neighbours_make_no_values(text):
+    assert [k for k, _, _ in names().text(text)[1] if k != "phone"] == []
