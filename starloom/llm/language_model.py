@@ -6,8 +6,9 @@ alone (a skip) and the classes of both. Frequent words and the end of a text are
 own; other words fall into classes by their last two bytes, so an unseen word has a class too. Inside
 a class a token has its smoothed share of the training tokens, and an unseen word the share that
 the smoothing leaves it. Weights are trained by distributed gradient updates over all training
-texts: in each round the tasks make stochastic steps on their share of the texts, and the changes
-of every row of weights are averaged over the tasks that touched it.
+texts: in each of ROUNDS rounds the tasks make stochastic steps on their part of all texts, and the
+changes of every row of weights are averaged over the tasks that touched it. Only the class factor
+is a maximum-entropy model; the share inside a class does not depend on the history.
 """
 
 from __future__ import annotations
@@ -23,14 +24,14 @@ from pyspark.sql import functions as F
 
 from starloom.llm import common as c
 
-CLASSES = 32
-OWN_CLASS = 15  # frequent words that are a class of their own
+CLASSES = 64
+OWN_CLASS = 31  # frequent words that are a class of their own
 SUFFIX_FIRST = 1 + OWN_CLASS
 WORD_BITS, PAIR_BITS, SKIP_BITS = 14, 14, 13
 FIRST_ROW = np.cumsum([0, 1 << WORD_BITS, 1 << PAIR_BITS, 1 << SKIP_BITS, CLASSES * CLASSES])
 ROWS = int(FIRST_ROW[-1])
 BLOCK = 64  # rows of weights that travel together
-KNOWN = 1 << 17  # at most so many frequent training words whose counts every task holds; the rest are joined
+KNOWN = 1 << 18  # at most so many frequent training words whose counts every task holds; the rest are joined
 SMOOTH = 0.1
 ROUNDS = 3
 STEP = 16_384  # tokens of one gradient step
@@ -223,16 +224,16 @@ def _averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(texts: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
-    """The weights after ROUNDS rounds; ``texts`` has text and ``share``, and round r takes share % ROUNDS = r.
+    """The weights after ROUNDS rounds over the ``text`` of all texts.
 
-    All texts take part, each in one round. A task sends its changes in blocks of rows; they are
+    A task sends its changes in blocks of rows; they are
     averaged in two steps, so that no task reads those of all others. The weights are ROWS x CLASSES.
     """
     spark = texts.sparkSession
     weights = np.zeros((ROWS, CLASSES), np.float32)
-    for r in range(ROUNDS):
+    for _ in range(ROUNDS):
         held = spark.sparkContext.broadcast(weights)
-        changes = texts.where(F.col("share") % ROUNDS == r).select("text").mapInArrow(_trained(held, vocabulary), CHANGES)
+        changes = texts.select("text").mapInArrow(_trained(held, vocabulary), CHANGES)
         changes = changes.repartition("block", "salt").sortWithinPartitions("block", "salt").mapInArrow(_averaged, CHANGES)
         changes = changes.withColumn("salt", F.lit(0)).repartition("block").sortWithinPartitions("block").mapInArrow(_averaged, CHANGES)
         weights = weights.copy()
@@ -349,7 +350,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     spark = docs.sparkSession
     crc = F.crc32(F.coalesce(F.col("_id").cast("string"), F.lit("")).cast("binary"))
     rows = c.with_row(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")))
-    training = rows.where(crc % 10 != 0).select("text", F.floor(crc / 10).alias("share"))
+    training = rows.where(crc % 10 != 0).select("text")
     words = count_words(training)
     vocabulary = vocabulary_of(words, training.count())
     weights = spark.sparkContext.broadcast(train(training, vocabulary))

@@ -95,3 +95,13 @@ def test_gradient_steps_lower_the_loss():
     for _ in range(25):
         trainer.step(rows, classes)
     assert loss() < 0.8 * before
+
+
+def test_every_round_takes_every_text(docs, prose, monkeypatch):
+    table = docs([(i, prose(60, i), 0) for i in range(4)], "doc_id long, text string, share int")
+    vocabulary = L.vocabulary_of(L.count_words(table.select("text")), 4)
+    change = []
+    for rounds in (1, 3):
+        monkeypatch.setattr(L, "ROUNDS", rounds)
+        change.append(float(np.abs(L.train(table, vocabulary)).sum()))
+    assert change[1] > 1.2 * change[0] > 0 and L.CLASSES >= 64
