@@ -43,23 +43,28 @@ def texts_of(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.large_binary()).to_pylist()]
 
 
-def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, bytes, offsets) of consecutive rows with about ``limit`` bytes together.
-
-    Each text is followed by one line feed, which belongs to no text: offsets[i] to
-    offsets[i + 1] - 1 is text i.
-    """
+def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+    """(first row, UTF-8 bytes of each text) of consecutive rows with about ``limit`` bytes together; null is empty."""
     data, first, size = [], 0, 0
-    texts = column.cast(pa.large_binary())
-    for i, scalar in enumerate(texts):
+    for i, scalar in enumerate(column.cast(pa.large_binary())):
         text = scalar.as_py() or b""
         if data and size + len(text) > limit:
-            yield first, *_joined(data)
+            yield first, data
             data, first, size = [], i, 0
         data.append(text)
         size += len(text) + 1
     if data:
-        yield first, *_joined(data)
+        yield first, data
+
+
+def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, bytes, offsets) of the same chunks as ``text_chunks``.
+
+    Each text is followed by one line feed, which belongs to no text: offsets[i] to
+    offsets[i + 1] - 1 is text i.
+    """
+    for first, texts in text_chunks(column, limit):
+        yield first, *_joined(texts)
 
 
 def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

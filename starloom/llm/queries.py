@@ -8,6 +8,7 @@ from starloom.llm.language_model import op8_lm_scoring
 from starloom.llm.mixing import OP5_SQL, op5_mixing
 from starloom.llm.packing import op2_packing
 from starloom.llm.passage_dedup import op9_substring_dedup
+from starloom.llm.periodic_runs import op11_periodic_runs
 from starloom.llm.pseudonyms import op3_pii
 from starloom.llm.quality import OP1_SQL, op1_quality_rules
 from starloom.llm.repeated_text import op7_suffix_array_dedup
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 QUERIES["pipeline"] = corpus_pipeline.run
 
