@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from starloom.llm.jaccard_join import op10_ngram_jaccard_join
 from starloom.llm.language_model import op8_lm_scoring
+from starloom.llm.lexical_search import OP12_SQL, op12_lexical_search
 from starloom.llm.mixing import OP5_SQL, op5_mixing
 from starloom.llm.packing import op2_packing
 from starloom.llm.passage_dedup import op9_substring_dedup
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_lexical_search": op12_lexical_search,
 }
 QUERIES["pipeline"] = corpus_pipeline.run
 
@@ -34,6 +36,7 @@ SQL: dict[str, str] = {
     "op1_quality_rules": OP1_SQL,
     "op4_embedding_near_dedup": OP4_SQL,
     "op5_mixing": OP5_SQL,
+    "op12_lexical_search": OP12_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
