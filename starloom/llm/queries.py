@@ -12,6 +12,7 @@ from starloom.llm.passage_dedup import op9_substring_dedup
 from starloom.llm.periodic_runs import op11_periodic_runs
 from starloom.llm.pseudonyms import op3_pii
 from starloom.llm.quality import OP1_SQL, op1_quality_rules
+from starloom.llm.quality_classifier import op13_quality_classifier
 from starloom.llm.repeated_text import op7_suffix_array_dedup
 from starloom.llm.token_counts import op6_token_counts
 from starloom.llm.vector_dedup import OP4_SQL, op4_embedding_near_dedup
@@ -29,6 +30,7 @@ QUERIES = {
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_lexical_search": op12_lexical_search,
+    "op13_quality_classifier": op13_quality_classifier,
 }
 QUERIES["pipeline"] = corpus_pipeline.run
 
