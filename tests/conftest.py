@@ -33,7 +33,3 @@ def rows(spark):
         return sorted((tuple(r) for r in picked.collect()), key=repr)
 
     return take
-
-
-def plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

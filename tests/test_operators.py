@@ -1,9 +1,9 @@
 import random
 
 import pytest
+from physical import plan
 from pyspark.sql import functions as F
 
-from conftest import plan
 from starloom.operators import (
     Band,
     CheckFailed,

@@ -3,9 +3,9 @@
 import re
 
 import pytest
+from physical import plan
 from pyspark.sql import functions as F
 
-from conftest import plan
 from starloom.catalog import REGISTRY
 from starloom.plans import star
 from starloom.session import scratch_path
