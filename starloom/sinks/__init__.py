@@ -7,6 +7,8 @@ from starloom.sinks.tables import create_tables, drop_tables, reset_tables
 from starloom.sinks.upsert import (
     Conflict,
     Manifest,
+    Part,
+    compact,
     current_version,
     prune_versions,
     read_version,

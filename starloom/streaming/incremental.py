@@ -2,9 +2,9 @@
 
 Each micro-batch is stored under its batch number, so its cost follows the size of
 the batch and a retried batch replaces its own output. The keyed merge with the
-target runs once per run, over the batches it has not merged yet, and rewrites the
-buckets that hold their keys. The manifest of the target carries the last merged batch
-number, which makes "not merged yet" a comparison.
+target runs once per run, over the batches it has not merged yet, and writes their
+newest rows beside the buckets that hold their keys. The manifest of the target carries
+the last merged batch number, which makes "not merged yet" a comparison.
 """
 
 from __future__ import annotations

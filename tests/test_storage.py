@@ -1,7 +1,9 @@
 import os
+import random
 import sys
 
 import pytest
+from physical import plan
 from pyspark.sql import functions as F
 
 from starloom.schemas import INT, LONG, STRING, struct
@@ -9,6 +11,7 @@ from starloom.operators import dedupe
 from starloom.session import child_dirs, create_file, scratch_path, shared_root
 from starloom.sinks import (
     Conflict,
+    compact,
     conform_positions,
     create_tables,
     current_version,
@@ -70,7 +73,83 @@ def test_only_touched_buckets_are_written(spark, rows):
     # Files that the kept version shares with an older one stay; replaced ones go.
     prune_versions(spark, root, keep=1)
     assert rows(read_version(spark, root, second, merged.schema)) == rows(merged)
+    assert len(child_dirs(spark, f"{root}/data/version=000000000001")) == 8
+    want, third = rows(merged), compact(spark, root, merged.schema)
+    assert third.number == 3 and sorted(b for b, v in third.written_by.items() if v == 3) == sorted(touched)
+    prune_versions(spark, root, keep=1)
+    assert rows(read_version(spark, root, third, merged.schema)) == want
     assert len(child_dirs(spark, f"{root}/data/version=000000000001")) == 8 - len(touched)
+    assert compact(spark, root, merged.schema) == third
+
+
+def bytes_in(folder):
+    return sum(os.path.getsize(os.path.join(at, f)) for at, _, files in os.walk(folder) for f in files)
+
+
+def test_a_batch_writes_what_it_holds(spark):
+    """Keys spread over all buckets: bytes and rows written follow the batch, and the base is not shuffled to read."""
+    root = scratch_path(spark, "bytes")
+    wide = F.expr("md5(cast(id as string))")
+    start = spark.range(120_000).select(F.col("id").cast("int").alias("user_id"), wide.alias("level"), F.lit(1).alias("ts"))
+    upsert_into(start, root, ["user_id"], ["ts"], buckets=8)
+    first = bytes_in(f"{root}/data/version=000000000001")
+    batch = start.filter("user_id % 400 = 0").withColumn("ts", F.lit(2))
+    merged = upsert_into(batch, root, ["user_id"], ["ts"])
+    now = current_version(spark, root)
+    assert [len(stack) for _, stack in sorted(now.parts.items())] == [2] * 8
+    assert sum(stack[-1].rows for stack in now.parts.values()) == 300
+    assert bytes_in(f"{root}/data/version=000000000002") < first / 20
+    assert child_dirs(spark, f"{root}/data/version=000000000001") == [f"_bucket={b}" for b in range(8)]
+    assert merged.count() == 120_000 and merged.filter("ts = 2").count() == 300
+    assert "SortMergeJoin" not in plan(merged) and plan(merged).count("BroadcastHashJoin") == 2
+
+
+@pytest.mark.parametrize("share", [0.0, 0.3, 100.0])
+def test_merges_against_a_dictionary(spark, rows, share):
+    """Random batches; every version ever committed stays readable as it was."""
+    root, rng = scratch_path(spark, "history"), random.Random(5)
+    keep, versions = {}, []
+    for step in range(6):
+        size = 80 if step == 0 else rng.choice((1, 5, 60))
+        batch = [(rng.choice([None, *range(90)]), rng.choice("abc"), rng.randrange(20)) for _ in range(size)]
+        for key, level, ts in batch:
+            keep[key] = max(keep.get(key, (-1, "")), (ts, level))
+        merged = upsert_into(spark.createDataFrame(batch, USERS), root, ["user_id"], ["ts"], buckets=4, share=share)
+        versions.append((current_version(spark, root), {(k, v[1], v[0]) for k, v in keep.items()}))
+        assert set(rows(merged)) == versions[-1][1] and merged.count() == len(keep)
+    for manifest, want in versions:
+        assert set(rows(read_version(spark, root, manifest, merged.schema))) == want
+    depth = max(len(stack) for stack in versions[-1][0].parts.values())
+    assert depth <= 2 if share == 0 else depth >= 2
+    compact(spark, root, merged.schema)
+    assert {len(stack) for stack in current_version(spark, root).parts.values()} == {1}
+    prune_versions(spark, root, keep=1)
+    assert set(rows(read_version(spark, root, current_version(spark, root), merged.schema))) == versions[-1][1]
+
+
+def test_a_merge_that_fails_before_its_manifest_changes_nothing(spark, rows, monkeypatch):
+    module, root = sys.modules["starloom.sinks.upsert"], scratch_path(spark, "halfway")
+    for data in ([(1, "a", 1), (2, "a", 1)], [(2, "b", 2)]):
+        upsert_into(spark.createDataFrame(data, USERS), root, ["user_id"], ["ts"], buckets=2)
+    late = spark.createDataFrame([(1, "c", 3), (3, "c", 3)], USERS)
+    with monkeypatch.context() as patch:
+        patch.setattr(module, "_commit", lambda *_: 1 / 0)
+        for write in (lambda: upsert_into(late, root, ["user_id"], ["ts"]), lambda: compact(spark, root, late.schema)):
+            with pytest.raises(ZeroDivisionError):
+                write()
+    now = current_version(spark, root)
+    assert now.number == 2 and rows(read_version(spark, root, now, late.schema)) == [(1, "a", 1), (2, "b", 2)]
+    assert rows(upsert_into(late, root, ["user_id"], ["ts"])) == [(1, "c", 3), (2, "b", 2), (3, "c", 3)]
+
+
+def test_empty_batches_and_a_changed_order(spark, rows):
+    root, none = scratch_path(spark, "none"), spark.createDataFrame([], USERS)
+    assert rows(upsert_into(none, root, ["user_id"], ["ts"])) == []
+    assert rows(upsert_into(spark.createDataFrame([(1, "a", 1)], USERS), root, ["user_id"], ["ts"])) == [(1, "a", 1)]
+    assert rows(upsert_into(none, root, ["user_id"], ["ts"])) == [(1, "a", 1)]
+    for keys, order, name in ((["level"], ["ts"], "key"), (["user_id"], ["level"], "order")):
+        with pytest.raises(ValueError, match=name):
+            upsert_into(none, root, keys, order)
 
 
 def test_an_upsert_never_loses_a_table(spark, rows):
