@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starloom.operators.aggregate import dedupe, pivot_values
 
@@ -165,7 +165,14 @@ def full_outer(left: DataFrame, right: DataFrame, on: Mapping[str, str]) -> Data
 def pivot_back(
     df: DataFrame, keys: Sequence[str], column: str, value: str, values: Sequence[str]
 ) -> DataFrame:
-    """One row per entity: its repeated attributes once, the pivoted values beside them."""
-    wide = pivot_values(df, keys, column, values, value)
-    attributes = df.drop(column, value).distinct()
-    return attributes.join(wide, on=list(keys), how="inner")
+    """One row per entity and set of attributes: attributes once, the entity's pivoted values beside them.
+
+    The input is read once. Rows are combined by keys and attributes before the shuffle, so
+    a key with many rows is not moved to one task; only the combined rows meet by key, where
+    each cell takes its largest value. Rows with a null in a key are left out.
+    """
+    attributes = [c for c in df.columns if c not in {*keys, column, value}]
+    known = df.filter(_all([F.col(k).isNotNull() for k in keys]))
+    wide = pivot_values(known, [*keys, *attributes], column, values, value)
+    entity = Window.partitionBy(*keys)
+    return wide.select(*keys, *attributes, *[F.max(f"`{v}`").over(entity).alias(str(v)) for v in values])

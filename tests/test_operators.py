@@ -170,6 +170,15 @@ def test_pivot_back(spark, rows):
     )
     got = pivot_back(frame, ["city"], "race", "n", ["x", "y"])
     assert rows(got) == [("A", 9, 1, 2), ("B", 8, 3, None)]
+    # Attributes that differ inside a key share its cells; null attributes are values, null keys are not.
+    frame = spark.createDataFrame(
+        [("A", 9, "x", 1), ("A", 7, "y", 2), ("A", None, "x", 5), ("A", None, "z", 8), (None, 1, "x", 4), ("C", 3, None, None)],
+        "city string, age int, race string, n int",
+    )
+    got = pivot_back(frame, ["city"], "race", "n", ["x", "y"])
+    assert got.columns == ["city", "age", "x", "y"]
+    assert set(rows(got)) == {("A", 9, 5, 2), ("A", 7, 5, 2), ("A", None, 5, 2), ("C", 3, None, None)} and got.count() == 4
+    assert rows(pivot_back(frame.limit(0), ["city"], "race", "n", ["x", "y"])) == []
 
 
 def test_domains(spark, rows):

@@ -77,6 +77,15 @@ def test_pivot_needs_one_shuffle(spark, sf):
     assert plan(REGISTRY["agg_pivot"].build(spark, sf)).count("Exchange") == 1
 
 
+def test_a_pivot_with_attributes_reads_its_input_once(spark, sf):
+    """Two shuffles, the second of combined rows; the joins are those of the view, against nation and region."""
+    text = plan(REGISTRY["join_pivot_back"].build(spark, sf))
+    assert len(re.findall(r"customer\.parquet", text)) == 1 and "SortMergeJoin" not in text
+    assert text.count("Exchange hashpartitioning") == 2
+    below = text[text.rindex("Exchange hashpartitioning"):]
+    assert "partial_max" in below
+
+
 def test_bucketed_join_has_no_shuffle(spark, sf):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
