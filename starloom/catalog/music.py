@@ -9,7 +9,7 @@ from starloom.catalog.registry import query
 from starloom.functions import timestamp_to_epoch_millis
 from starloom.plans import questions, runs, star
 from starloom.schemas import EVENT_LOG, LONG, SONG_METADATA, STAR_TABLES
-from starloom.session import scratch_path
+from starloom.session import drop_later, scratch_path
 from starloom.sources import table
 
 FACT_SQL = f"""
@@ -248,12 +248,14 @@ UNION ALL SELECT 'time', count(DISTINCT start_time), true FROM fact
 def run_star(spark, sf):
     """Reset, stage, load and check all tables; one row per table."""
     root = scratch_path(spark, "star")
+    database = "starloom_" + root.rsplit("-", 1)[1]
+    drop_later(spark, database, kind="DATABASE")
     ids = {"userId": LONG, "sessionId": LONG, "user_id": LONG, "session_id": LONG}
     return runs.run_star(
         spark,
         _staged(views.play_log(spark, sf), EVENT_LOG),
         _staged(views.catalogue(spark, sf), SONG_METADATA),
-        database="starloom_" + root.rsplit("-", 1)[1],
+        database=database,
         location=root,
         page=views.PLAY,
         user_order=["ts", "sessionId", "itemInSession"],
@@ -274,12 +276,14 @@ UNION ALL SELECT 'time', count(DISTINCT start_time), true FROM log WHERE page =
 def run_star_first_match(spark, sf):
     """The same with upserted dimensions: as many plays as the log has."""
     root = scratch_path(spark, "star-first")
+    database = "starloom_" + root.rsplit("-", 1)[1]
+    drop_later(spark, database, kind="DATABASE")
     ids = {"userId": LONG, "sessionId": LONG, "user_id": LONG, "session_id": LONG}
     return runs.run_star(
         spark,
         _staged(views.play_log(spark, sf), EVENT_LOG),
         _staged(views.catalogue(spark, sf), SONG_METADATA),
-        database="starloom_" + root.rsplit("-", 1)[1],
+        database=database,
         location=root,
         page=views.PLAY,
         user_order=["ts", "sessionId", "itemInSession"],

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from starloom.catalog import views
 from starloom.catalog.registry import query
 from starloom.schemas import LONG, STRING, struct
-from starloom.session import scratch_path
+from starloom.session import drop_later, scratch_path
 from starloom.sinks import (
     cluster,
     create_tables,
@@ -148,6 +148,7 @@ def ddl_reset(spark, sf):
     database = "starloom_" + root.rsplit("-", 1)[1]
     supplier = table(spark, sf, "supplier")
     tables = {"supplier": supplier.schema}
+    drop_later(spark, database, kind="DATABASE")
     spark.sql(f"CREATE DATABASE {database} LOCATION '{root}'")
     for _ in range(2):
         drop_tables(spark, tables, database)
@@ -177,6 +178,7 @@ def layout_bucketed(spark, sf):
     name = "starloom_" + root.rsplit("-", 1)[1]
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     customer = table(spark, sf, "customer").select("c_custkey", "c_name")
+    drop_later(spark, f"{name}_orders", f"{name}_customer")
     write_bucketed(orders, f"{name}_orders", ["o_custkey"], 8, path=f"{root}/orders")
     write_bucketed(customer, f"{name}_customer", ["c_custkey"], 8, path=f"{root}/customer")
     joined = spark.table(f"{name}_orders").join(

@@ -24,6 +24,7 @@ RUNTIME_CONF = {
 
 _local_roots: dict[str, str] = {}
 _handed_out: dict[str, list[str]] = {}
+_to_drop: dict[str, list[str]] = {}
 
 
 def apply_runtime(spark: SparkSession) -> SparkSession:
@@ -75,10 +76,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def drop_later(spark: SparkSession, *names: str, kind: str = "TABLE") -> None:
+    """Have ``release_scratch`` drop tables, or databases with all they hold."""
+    tail = " CASCADE" if kind == "DATABASE" else ""
+    dropped = _to_drop.setdefault(spark.sparkContext.applicationId, [])
+    dropped.extend(f"DROP {kind} IF EXISTS {name}{tail}" for name in names)
+
+
 def release_scratch(spark: SparkSession) -> int:
-    """Delete the scratch folders this session was given; results read from them end here."""
-    paths = _handed_out.pop(spark.sparkContext.applicationId, [])
-    return sum(delete_path(spark, path) for path in paths)
+    """Drop what ``drop_later`` named and delete the scratch folders this session was given.
+
+    Results read from them end here.
+    """
+    app = spark.sparkContext.applicationId
+    for statement in _to_drop.pop(app, []):
+        spark.sql(statement)
+    return sum(delete_path(spark, path) for path in _handed_out.pop(app, []))
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from starloom.schemas import INT, LONG, STRING, struct
 from starloom.operators import dedupe
-from starloom.session import child_dirs, create_file, scratch_path, shared_root
+from starloom.catalog import REGISTRY
+from starloom.session import child_dirs, create_file, path_exists, release_scratch, scratch_path, shared_root
 from starloom.sinks import (
     Conflict,
     compact,
@@ -283,3 +284,17 @@ def test_shared_root_follows_the_session(spark):
     if named:
         assert shared_root(spark) == named.rstrip("/")
     assert scratch_path(spark, "x").startswith(shared_root(spark))
+
+
+@pytest.mark.parametrize("name", ["ddl_reset", "layout_bucketed", "run_star"])
+def test_released_queries_leave_nothing_in_the_catalog(spark, sf, name):
+    def named():
+        databases = {r[0] for r in spark.sql("SHOW DATABASES LIKE 'starloom_*'").collect()}
+        return databases | {r["tableName"] for r in spark.sql("SHOW TABLES IN default LIKE 'starloom_*'").collect()}
+
+    release_scratch(spark)
+    before, kept = named(), scratch_path(spark, "released")
+    spark.range(3).write.parquet(kept)
+    assert REGISTRY[name].build(spark, sf).count() > 0 and named() > before
+    release_scratch(spark)
+    assert named() == before and not path_exists(spark, kept)
