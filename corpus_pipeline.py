@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starloom.llm.common import stored, with_row
 from starloom.llm.jaccard_join import Rule, jaccard_classes
@@ -22,9 +23,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked sets of 5-word shingles, Jaccard 0.8 or more: the one with the smallest id."""
-    stay = jaccard_classes(docs, rule=NEAR).where("_row = class_row").select("_row")
-    return with_row(docs.drop("_row")).join(stay, "_row", "left_semi").select(*docs.columns)
+    """One document of each group of linked sets of 5-word shingles, Jaccard 0.8 or more: the one with the smallest id.
+
+    Null, empty and wordless texts are linked with nothing and stay. Of rows that tie in their id one
+    stays. Columns of any name come through as they are.
+    """
+    row = "_row"
+    while row in docs.columns:
+        row += "_"
+    stay = jaccard_classes(docs, rule=NEAR).where("_row = class_row").select(F.col("_row").alias(row))
+    return with_row(docs, row).join(stay, row, "left_semi").select(*docs.columns)
 
 
 def private_values(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
