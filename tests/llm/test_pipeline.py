@@ -81,3 +81,15 @@ def test_near_copies_at_five_words_and_four_fifths_go(spark, docs, prose):
     base = prose(140, 5).split()
     edited = " ".join(f"edit{i}" if i in (30, 70, 110) else w for i, w in enumerate(base))
     assert [r["doc_id"] for r in stage(spark, docs([(0, " ".join(base)), (1, edited)]), "").collect()] == [0]
+
+
+def test_the_join_stage_keeps_clashing_columns_and_rows_without_text(spark, docs, prose):
+    stage = dict(corpus_pipeline.STAGES)["n-gram Jaccard join"]
+    text = prose(60, 9)
+    rows = [(4, text, -7, "a"), (3, text, 5, "b"), (None, None, 2, None), (8, None, 9, "c"), (9, "", 4, "d"), (9, "", 4, "d")]
+    table = docs(rows, "doc_id long, text string, _row int, class_row string")
+    found = stage(spark, table, "")
+    assert found.columns == table.columns
+    want = [rows[1], *rows[2:]]
+    assert sorted((tuple(r) for r in found.collect()), key=repr) == sorted(want, key=repr)
+    assert stage(spark, docs([], "doc_id long, text string, _row int"), "").collect() == []
