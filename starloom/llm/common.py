@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,12 +20,49 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _position(df: DataFrame) -> tuple[F.Column, F.Column, F.Column] | None:
+    """(path, name, row index) of each row's file; none where the rows do not come straight from Parquet files."""
+    try:
+        file = df.metadataColumn("_metadata")
+        place = file.getField("file_path"), file.getField("file_name"), file.getField("row_index")
+        _ = df.select(*place).schema
+        return place
+    except AnalysisException:
+        return None
+
+
+def as_table(df: DataFrame) -> DataFrame:
+    """``df`` itself where it reads Parquet files, with columns and rows left out or not; else a stored copy."""
+    return df if _position(df) else stored(df, "rows")
+
+
 def with_row(df: DataFrame, name: str = "_row") -> DataFrame:
     """Adds a unique number per row, so that null and repeated ids stay apart.
 
-    It is the same on every evaluation when ``df`` is a stored table; store other frames first.
+    The number is made of the row's file and its place there, so every evaluation gives a row the
+    same one, however Spark splits the files and however many cores it has. Low bits are the place,
+    high bits a hash of the file's name, or of its path where names repeat; that no two files share
+    the high bits is checked, and another seed taken otherwise. A frame that does not read Parquet
+    files is stored first; to number one twice alike, take ``as_table`` of it before.
     """
-    return df.withColumn(name, F.monotonically_increasing_id())
+    df = as_table(df)
+    path, file, index = _position(df)
+    files = df.groupBy(path.alias("path"), file.alias("name")).agg(F.max(index).alias("top"), F.count("*").alias("n"))
+    files = materialise(files, "row-files")
+    seen = files.agg(F.count("*").alias("files"), F.countDistinct("name").alias("names"), F.max("top").alias("top"),
+                     F.max(F.col("n") - F.col("top")).alias("twice")).first()
+    if (seen["twice"] or 0) > 1:
+        raise ValueError("the frame repeats rows of its files; store it first")
+    bits = (seen["top"] or 0).bit_length()
+    by_name = seen["names"] == seen["files"]
+
+    def high(key: F.Column, seed: int) -> F.Column:
+        return F.shiftleft(F.xxhash64(F.lit(seed), key), bits).bitwiseAND(F.lit((1 << 63) - 1))
+
+    seed, key = 0, "name" if by_name else "path"
+    while files.agg(F.countDistinct(high(F.col(key), seed)).alias("n")).first()["n"] < seen["files"]:
+        seed += 1
+    return df.withColumn(name, high(file if by_name else path, seed).bitwiseOR(index))
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
