@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm.common import stored, with_row
+from starloom.llm.common import as_table, stored, with_row
 from starloom.llm.jaccard_join import Rule, jaccard_classes
 from starloom.llm.mixing import mix_sources
 from starloom.llm.packing import pack_documents
@@ -28,7 +28,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Null, empty and wordless texts are linked with nothing and stay. Of rows that tie in their id one
     stays. Columns of any name come through as they are.
     """
-    row = "_row"
+    docs, row = as_table(docs), "_row"
     while row in docs.columns:
         row += "_"
     stay = jaccard_classes(docs, rule=NEAR).where("_row = class_row").select(F.col("_row").alias(row))
