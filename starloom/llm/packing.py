@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import zlib
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -67,10 +68,15 @@ class Packer:
 
     def __init__(self, first_id: int, windows: int = OPEN) -> None:
         self.next_id, self.windows = first_id, windows
-        self.open: list[list[tuple]] = []
-        self.free: list[int] = []
+        self.open: dict[int, list[tuple]] = {}
+        self.gaps: list[tuple[int, int]] = []  # (free tokens, window) of the open windows, sorted
+        self.opened = 0
         self.done: list[tuple] = []
 
+    @property
+    def free(self) -> list[int]:
+        return [room for room, _ in self.gaps]
+
     def _close(self, pieces: list[tuple]) -> None:
         offset = 0
         for row, start, total, ids in pieces:
@@ -78,46 +84,44 @@ class Packer:
             offset += len(ids)
         self.next_id += 1
 
-    def _drop(self, at: int) -> None:
-        self._close(self.open[at])
-        self.open[at], self.free[at] = self.open[-1], self.free[-1]
-        self.open.pop()
-        self.free.pop()
-
     def add(self, row: int, start: int, total: int, ids: np.ndarray) -> None:
         while len(ids) >= WINDOW:
             self._close([(row, start, total, ids[:WINDOW])])
             ids, start = ids[WINDOW:], start + WINDOW
         while len(ids):
-            fits = [(f, i) for i, f in enumerate(self.free) if f >= len(ids)]
-            if fits:
-                room, at = min(fits)
-                self.open[at].append((row, start, total, ids))
-                self.free[at] = room - len(ids)
-                if not self.free[at]:
-                    self._drop(at)
+            best = bisect_left(self.gaps, (len(ids), -1))
+            if best < len(self.gaps):
+                room, window = self.gaps.pop(best)
+                self.open[window].append((row, start, total, ids))
+                if room > len(ids):
+                    insort(self.gaps, (room - len(ids), window))
+                else:
+                    self._close(self.open.pop(window))
                 return
             if len(self.open) < self.windows:
-                self.open.append([(row, start, total, ids)])
-                self.free.append(WINDOW - len(ids))
+                self.open[self.opened] = [(row, start, total, ids)]
+                insort(self.gaps, (WINDOW - len(ids), self.opened))
+                self.opened += 1
                 return
-            at = min(range(len(self.free)), key=self.free.__getitem__)
-            room = self.free[at]
+            room, window = self.gaps.pop(0)  # the fullest
+            pieces = self.open.pop(window)
             if room > WASTE:
-                self.open[at].append((row, start, total, ids[:room]))
+                pieces.append((row, start, total, ids[:room]))
                 ids, start = ids[room:], start + room
-            self._drop(at)
+            self._close(pieces)
+
+    def _end(self) -> list[tuple]:
+        rest = [p for pieces in self.open.values() for p in pieces]
+        self.open, self.gaps = {}, []
+        return rest
 
     def leftovers(self) -> Iterator[tuple]:
-        for pieces in self.open:
-            for row, start, total, ids in pieces:
-                yield row, start, total, ids, NO_SEQUENCE, 0
-        self.open, self.free = [], []
+        for row, start, total, ids in self._end():
+            yield row, start, total, ids, NO_SEQUENCE, 0
 
     def settle(self) -> None:
         """Ends with no open window: the leftovers in a row, the last window cut at powers of two."""
-        rest = [p for pieces in self.open for p in pieces]
-        self.open, self.free = [], []
+        rest = self._end()
         left = sum(len(p[3]) for p in rest)
         pieces, room = [], min(WINDOW, 1 << max(left.bit_length() - 1, 0))
         for row, start, total, ids in rest:
@@ -135,17 +139,20 @@ class Packer:
         return done
 
 
-def _batch(found: list[tuple]) -> pa.RecordBatch:
-    ids = [f[3] for f in found]
-    ends = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int32)
-    flat = np.concatenate(ids).astype("<u4") if ids else np.zeros(0, "<u4")
-    crc = [zlib.crc32(i.astype("<u4").tobytes()) for i in ids]
-    columns = [[f[0] for f in found], [f[1] for f in found], np.diff(ends).astype(np.int64), crc, [f[2] for f in found],
-               [f[4] for f in found], [f[5] for f in found]]
-    return pa.record_batch([pa.array(x, pa.int64()) for x in columns] + [pa.ListArray.from_arrays(ends, flat.astype(np.int32))], names=NAMES)
+def _batch(found: list[tuple], keep: bool) -> pa.RecordBatch:
+    """Without ``keep``, finished pieces have no ids: only leftovers are read again."""
+    crc = [zlib.crc32(np.ascontiguousarray(f[3], "<i4")) for f in found]
+    lengths = [len(f[3]) for f in found]
+    columns = [[f[0] for f in found], [f[1] for f in found], lengths, crc, [f[2] for f in found], [f[4] for f in found], [f[5] for f in found]]
+    held = [f[3] if keep or f[4] == NO_SEQUENCE else None for f in found]
+    ends = np.cumsum([0] + [0 if i is None else len(i) for i in held]).astype(np.int32)
+    flat = np.concatenate([np.zeros(0, np.int32)] + [i for i in held if i is not None])
+    void = pa.array([i is None for i in held], pa.bool_())
+    lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat), mask=void)
+    return pa.record_batch([pa.array(x, pa.int64()) for x in columns] + [lists], names=NAMES)
 
 
-def _packed(pieces: Iterator[tuple], merges: int, last: bool, windows: int) -> Iterator[pa.RecordBatch]:
+def _packed(pieces: Iterator[tuple], merges: int, last: bool, windows: int, keep: bool) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
     # a task numbers its sequences on from (round of merging, partition)
@@ -155,14 +162,14 @@ def _packed(pieces: Iterator[tuple], merges: int, last: bool, windows: int) -> I
         held += len(ids)
         if held > 1 << 20:
             if packer.done:
-                yield _batch(packer.take())
+                yield _batch(packer.take(), keep)
             held = 0
     if last:
         packer.settle()
-    yield _batch(packer.take() + list(packer.leftovers()))
+    yield _batch(packer.take() + list(packer.leftovers()), keep)
 
 
-def _tokenised(files: tuple[str, str, str], end_id: int, windows: int):
+def _tokenised(files: tuple[str, str, str], end_id: int, windows: int, keep: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = tokens_of(*files)
 
@@ -172,12 +179,12 @@ def _tokenised(files: tuple[str, str, str], end_id: int, windows: int):
                     ids = np.append(tokens.ids(text.as_py() or ""), np.int32(end_id))
                     yield row.as_py(), 0, len(ids), ids
 
-        yield from _packed(pieces(), 0, False, windows)
+        yield from _packed(pieces(), 0, False, windows, keep)
 
     return run
 
 
-def _merged(merges: int, last: bool, windows: int):
+def _merged(merges: int, last: bool, windows: int, keep: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pieces():
             for batch in batches:
@@ -185,7 +192,7 @@ def _merged(merges: int, last: bool, windows: int):
                 for i, ids in enumerate(batch.column(7)):
                     yield rows[i], starts[i], totals[i], np.asarray(ids.values)
 
-        yield from _packed(pieces(), merges, last, windows)
+        yield from _packed(pieces(), merges, last, windows, keep)
 
     return run
 
@@ -199,6 +206,7 @@ def tokenizer_files(name: str = "byte_bpe_50k") -> tuple[str, str, str]:
 
 def pack(
     docs: DataFrame, text_col: str = "text", files: tuple[str, str, str] | None = None, end_id: int = 1, windows: int = OPEN,
+    keep_ids: bool = True,
 ) -> DataFrame:
     """(_row, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids): the pieces of all sequences.
 
@@ -206,14 +214,15 @@ def pack(
     it from offset 0 without gaps, to 2048 at most. A shorter sequence is meant to be padded to
     2048, unless its length is a power of two. A null or empty text is its end id alone. Rows are
     packed as they come, so repeated rows and repeated or null ids each have pieces; further
-    columns are ignored; no rows give no pieces. ``_row`` is the row number of a stored table (see
-    ``with_row``). ``files`` are a tokenizer's, as in ``Tokens``.
+    columns are ignored; no rows give no pieces. ``_row`` is the number that ``with_row`` gives a
+    row of a table. ``files`` are a tokenizer's, as in ``Tokens``. Without ``keep_ids`` the ids are left
+    out of the result, whose lengths and checksums stay.
 
     Memory of a task: ``windows`` open windows, one text and a million tokens of output. Leftovers are merged in
     rounds, those of MERGED tasks by one, until one task can take what is left.
     """
     rows = c.with_row(docs.select(F.col(text_col).alias("text"))).select("_row", "text")
-    found = c.stored(rows.mapInArrow(_tokenised(files or tokenizer_files(), end_id, windows), PIECE), "pack-first")
+    found = c.stored(rows.mapInArrow(_tokenised(files or tokenizer_files(), end_id, windows, keep_ids), PIECE), "pack-first")
     tables, merges, last = [], 0, False
     while not last:
         tables.append(found.where(F.col("sequence_id") != NO_SEQUENCE))
@@ -222,18 +231,19 @@ def pack(
         parts = -(-tokens // (MERGED * windows * WINDOW))
         merges, last = merges + 1, parts <= 1
         # whole leftovers of tasks go together; each round leaves ``windows`` of them a task at most
-        found = c.stored(rest.coalesce(max(1, parts)).mapInArrow(_merged(merges, last, windows), PIECE), "pack-merged")
+        found = c.stored(rest.coalesce(max(1, parts)).mapInArrow(_merged(merges, last, windows, keep_ids), PIECE), "pack-merged")
     tables.append(found)
     out = tables[0]
     for table in tables[1:]:
         out = out.unionByName(table)
-    return out
+    return out if keep_ids else out.drop("ids")
 
 
 def pack_documents(docs: DataFrame) -> DataFrame:
     """The pieces of ``documents`` with their doc_id, without the ids themselves."""
-    ids = c.with_row(docs).select("_row", "doc_id")
-    pieces = pack(docs).drop("ids")
+    docs = c.as_table(docs)
+    ids = c.with_row(docs.select("doc_id"))
+    pieces = pack(docs, keep_ids=False)
     return pieces.join(ids, "_row").select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
