@@ -25,6 +25,7 @@ from starloom.llm.components import components
 NUM, DEN = 9, 10  # two sets link when DEN * intersection >= NUM * union
 SHINGLE = 3
 WORDS = 8  # 64-bit words of the parity sketch
+FINE = 1 << 16  # most bits of the fine sketch
 BLOCK = 1024  # members of one bucket that are compared with as many others in one go
 CODES = c.byte_codes(101)
 Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
@@ -117,9 +118,29 @@ def _signatures(
     return np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows])
 
 
+def _sizes(doc: np.ndarray, hashed: np.ndarray, docs: int) -> tuple[np.ndarray, np.ndarray]:
+    """Size and hash of each set."""
+    n = np.bincount(doc, minlength=docs)
+    return n, c.mix(_sums(doc, c.mix(hashed ^ np.uint64(0xA5A5)), docs) + n.astype(np.uint64))
+
+
+def fine_sketches(doc: np.ndarray, hashed: np.ndarray, n: np.ndarray) -> list[bytes | None]:
+    """A parity sketch with a bit or more a shingle of each set that is too large for the fixed sketch.
+
+    Its length is a power of two and a shingle's bit is its hash modulo that length, so a longer
+    sketch folds to a shorter one by exclusive or.
+    """
+    bits = np.where(n > WORDS * 64, 1 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64), 0)
+    bits = np.minimum(bits, FINE)
+    base = np.concatenate(([0], np.cumsum(bits)))
+    mine = bits[doc] > 0
+    at = base[doc[mine]] + (hashed[mine] >> np.uint64(40)).astype(np.int64) % bits[doc[mine]]
+    packed = np.packbits((np.bincount(at, minlength=base[-1]) & 1).astype(bool)).tobytes()
+    return [packed[a // 8: b // 8] if b > a else None for a, b in zip(base[:-1].tolist(), base[1:].tolist(), strict=True)]
+
+
 def set_rows(rule: Rule = RULE) -> Batches:
-    """(_row, text) to (_row, n, sid, check, k0 .., sigs)."""
-    lows = rule.lows
+    """(_row, text) to (_row, n, sid, check, k0 .., fine)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pw = c.Powers()
@@ -127,34 +148,76 @@ def set_rows(rule: Rule = RULE) -> Batches:
             for first, data, offsets in c.chunks(batch.column(1)):
                 docs = len(offsets) - 1
                 doc, hashed = shingle_sets(data, offsets, pw, rule.shingle)
-                n = np.bincount(doc, minlength=docs)
-                size = n.astype(np.uint64)
-                sid = c.mix(_sums(doc, c.mix(hashed ^ np.uint64(0xA5A5)), docs) + size)
-                check = c.mix(_sums(doc, c.mix(hashed ^ np.uint64(0xC3C3C3)), docs) + size)
+                n, sid = _sizes(doc, hashed, docs)
+                check = c.mix(_sums(doc, c.mix(hashed ^ np.uint64(0xC3C3C3)), docs) + n.astype(np.uint64))
                 bits = np.bincount(doc * (WORDS * 64) + (hashed >> np.uint64(40)).astype(np.int64) % (WORDS * 64), minlength=docs * WORDS * 64)
                 sketch = np.packbits((bits & 1).astype(bool).reshape(docs, -1), axis=1).view(np.int64)
-                band = np.maximum(np.searchsorted(lows, n, "right") - 1, 0)
-                owners, sigs = zip(
-                    _signatures(doc, hashed, band, n > 0, sid, rule),
-                    # a larger partner may lie in the next band
-                    _signatures(doc, hashed, band + 1, (n > 0) & (n * rule.den // rule.num >= lows[band + 1]), sid, rule),
-                    strict=True,
-                )
-                owner, sig = np.concatenate(owners), np.concatenate(sigs)
-                order = np.argsort(owner, kind="stable")
-                ends = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=docs))))
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(c.signed(sig[order])))
                 yield pa.record_batch(
                     [batch.column(0).slice(first, docs), pa.array(n, pa.int64()), pa.array(c.signed(sid)), pa.array(c.signed(check))]
-                    + [pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(WORDS)] + [lists],
-                    names=["_row", "n", "sid", "check", *SKETCH, "sigs"],
+                    + [pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(WORDS)]
+                    + [pa.array(fine_sketches(doc, hashed, n), pa.binary())],
+                    names=["_row", "n", "sid", "check", *SKETCH, "fine"],
                 )
 
     return run
 
 
+def signature_rows(rule: Rule = RULE) -> Batches:
+    """(text) to (sig, sid): the signatures of each different set of a task."""
+    lows = rule.lows
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pw, seen = c.Powers(), set()
+        for batch in batches:
+            for _, data, offsets in c.chunks(batch.column(0)):
+                docs = len(offsets) - 1
+                doc, hashed = shingle_sets(data, offsets, pw, rule.shingle)
+                n, sid = _sizes(doc, hashed, docs)
+                fresh = np.zeros(docs, bool)
+                for i, s in enumerate(sid.tolist()):
+                    if n[i] and s not in seen:
+                        seen.add(s)
+                        fresh[i] = True
+                band = np.maximum(np.searchsorted(lows, n, "right") - 1, 0)
+                for use, at in (
+                    (fresh, band),
+                    # a larger partner may lie in the next band
+                    (fresh & (n * rule.den // rule.num >= lows[band + 1]), band + 1),
+                ):
+                    owner, sig = _signatures(doc, hashed, at, use, sid, rule)
+                    yield pa.record_batch([pa.array(c.signed(sig)), pa.array(c.signed(sid[owner]))], names=["sig", "sid"])
+
+    return run
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (sig, sid) to (sig, sid, center) of signatures of two sets or more; center is the smallest set.
+
+    One pass: of a bucket only its first and its last set are held.
+    """
+    held = None  # signature, last set, center, and whether the center was written
+    for batch in batches:
+        sig, sid = (np.asarray(batch.column(i)) for i in (0, 1))
+        if not len(sig):
+            continue
+        before = (sig[:1] + 1, sid[:1]) if held is None else (np.array([held[0]]), np.array([held[1]]))
+        opens = sig != np.concatenate((before[0], sig[:-1]))
+        new = opens | (sid != np.concatenate((before[1], sid[:-1])))
+        sig, sid, opens = sig[new], sid[new], opens[new]
+        if not len(sig):
+            continue
+        center = np.concatenate((np.array([0 if held is None else held[2]], np.int64), sid[opens]))[np.cumsum(opens)]
+        met = ~opens
+        met[:-1] |= ~opens[1:]
+        out = [sig[met], sid[met], center[met]]
+        if not opens[0] and not held[3]:
+            out = [np.concatenate((np.array([x], np.int64), y)) for x, y in zip((held[0], held[2], held[2]), out, strict=True)]
+        yield pa.record_batch([pa.array(x) for x in out], names=["sig", "sid", "center"])
+        held = int(sig[-1]), int(sid[-1]), int(center[-1]), not opens[-1]
+
+
 SKETCH = [f"k{i}" for i in range(WORDS)]
-SET_SCHEMA = "_row long, n long, sid long, check long, " + ", ".join(f"{k} long" for k in SKETCH) + ", sigs array<long>"
+SET_SCHEMA = "_row long, n long, sid long, check long, " + ", ".join(f"{k} long" for k in SKETCH) + ", fine binary"
 
 
 def _near(na, nb, distance, rule: Rule):
@@ -166,13 +229,74 @@ def _near(na, nb, distance, rule: Rule):
 
 
 def _pruned(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
-    """(a, b, row_a, row_b) of the pairs that may link."""
+    """(a, b, row_a, row_b, apart) of the pairs that may link; ``apart`` counts the sketch bits they differ in."""
     for side in "ab":
         pairs = pairs.join(
             nodes.select(F.col("sid").alias(side), F.col("n").alias(f"n{side}"), F.col("rep").alias(f"row_{side}"),
                          *[F.col(k).alias(f"{side}{k}") for k in SKETCH]), side)
     apart = sum((F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}"))) for k in SKETCH), F.lit(0))
-    return pairs.where(_near(F.col("na"), F.col("nb"), apart, rule)).select("a", "b", "row_a", "row_b")
+    return pairs.withColumn("apart", apart.cast("long")).where(_near(F.col("na"), F.col("nb"), F.col("apart"), rule)).select("a", "b", "row_a", "row_b", "apart")
+
+
+def _finer(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs (a, b, row_a, row_b, apart) that the fine sketches of two large sets leave, which never reject a link."""
+    for side in "ab":
+        fine = sets.select(F.col("_row").alias(f"row_{side}"), F.col("n").alias(f"n{side}"), F.col("fine").alias(f"f{side}"))
+        pairs = pairs.join(fine, f"row_{side}")
+    wanted = ["a", "b", "row_a", "row_b", "apart"]
+    return pairs.select(*wanted, "na", "nb", "fa", "fb").mapInArrow(_fine(rule), "a long, b long, row_a long, row_b long, apart long")
+
+
+def _fine(rule: Rule) -> Batches:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            limit = (np.asarray(batch.column(5)) + np.asarray(batch.column(6))) * (rule.den - rule.num) // (rule.den + rule.num)
+            good = np.ones(batch.num_rows, bool)
+            for i, (x, y) in enumerate(zip(batch.column(7), batch.column(8), strict=True)):
+                if x.is_valid and y.is_valid:
+                    x, y = (np.frombuffer(v.as_buffer(), np.uint8) for v in (x, y))
+                    width = min(len(x), len(y))
+                    x, y = (np.bitwise_xor.reduce(v.reshape(-1, width), axis=0) for v in (x, y))
+                    good[i] = int(np.bitwise_count(x ^ y).sum()) <= limit[i]
+            yield batch.select(range(5)).filter(pa.array(good)).cast(pa.schema([(k, pa.int64()) for k in ("a", "b", "row_a", "row_b", "apart")]))
+
+    return run
+
+
+def _parted(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """The pairs whose sets are in different components, ``ca`` and ``cb``."""
+    for side in "ab":
+        pairs = pairs.join(comps.select(F.col("node").alias(side), F.col("component").alias(f"c{side}")), side, "left")
+        pairs = pairs.withColumn(f"c{side}", F.coalesce(f"c{side}", side))
+    return pairs.where("ca != cb")
+
+
+def _nearest(pairs: DataFrame, *keys: str) -> DataFrame:
+    """For each key the pair whose sketches are least apart."""
+    best = pairs.groupBy(*keys).agg(F.min(F.struct("apart", "a", "b", "row_a", "row_b")).alias("p"))
+    return best.select("p.a", "p.b", "p.row_a", "p.row_b")
+
+
+def _star_links(star: DataFrame, texts: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
+    """(links, components) of the pairs with centers, without reading texts for pairs inside a component.
+
+    First each set with its nearest center, then one pair for any two components that still have
+    one, last every pair between different components that was not yet read.
+    """
+    tried = c.stored(_nearest(star, "b"), "jaccard-near")
+    links = _links(tried, texts, "jaccard-near", rule)
+    comps = components(links, "a", "b", "jaccard")
+    for last in (False, True):
+        left = c.stored(_parted(star.join(tried.select("a", "b"), ["a", "b"], "left_anti"), comps), "jaccard-left")
+        if left.isEmpty():
+            break
+        if not last:
+            left = c.stored(_nearest(left.withColumn("low", F.least("ca", "cb")).withColumn("high", F.greatest("ca", "cb")), "low", "high"), "jaccard-bridges")
+            tried = tried.unionByName(left)
+        more = _links(left.select("a", "b", "row_a", "row_b"), texts, "jaccard-bridges", rule)
+        links = links.unionByName(more)
+        comps = components(links, "a", "b", "jaccard")
+    return links, comps
 
 
 def _links(pairs: DataFrame, texts: DataFrame, label: str, rule: Rule) -> DataFrame:
@@ -256,7 +380,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Repeated rows and repeated or null ids stay rows of their own; a null id ranks last. Further
     columns are ignored. No row is dropped and no bucket is capped.
 
-    Candidates are first the pairs of each bucket's members with its smallest set; members of
+    Candidates are first the pairs of each bucket's members with its smallest set, nearest by sketch first; members of
     different components that share a bucket follow, in blocks. Both are held against a parity
     sketch that never rejects a link, then verified on whole texts. Pairs inside a component
     are not needed for the classes.
@@ -270,14 +394,14 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             *[F.min(k).alias(k) for k in SKETCH]), "jaccard-nodes")
     if not nodes.where("clash").isEmpty():
         raise ValueError("two different shingle sets share a 64-bit hash; change the codes")
-    signed_sets = sets.select("sid", F.explode("sigs").alias("sig"))
-    buckets = signed_sets.groupBy("sig").agg(F.min("sid").alias("center"), F.max("sid").alias("last")).where("center < last")
-    members = c.stored(signed_sets.join(buckets.select("sig", "center"), "sig").distinct(), "jaccard-members")
+    # one shuffle of signatures, which are not stored; a set that many rows of a task have is sent once
+    signed = texts.select("text").mapInArrow(signature_rows(rule), "sig long, sid long")
+    sorted_by = signed.repartition("sig").sortWithinPartitions("sig", "sid")
+    members = c.stored(sorted_by.mapInArrow(_shared, "sig long, sid long, center long"), "jaccard-members")
 
     star = members.where("center < sid").select(F.col("center").alias("a"), F.col("sid").alias("b")).distinct()
-    star = c.stored(_pruned(star, nodes, rule), "jaccard-star")
-    links = _links(star, texts, "jaccard-star", rule)
-    comps = components(links, "a", "b", "jaccard")
+    star = c.stored(_finer(_pruned(star, nodes, rule), sets, rule), "jaccard-star")
+    links, comps = _star_links(star, texts, rule)
 
     placed = members.join(comps.withColumnRenamed("node", "sid"), "sid", "left").select(
         "sig", "sid", F.coalesce("component", "sid").alias("comp"))
@@ -294,6 +418,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = rest.join(star.select("a", "b"), ["a", "b"], "left_anti")
     for side in "ab":
         rest = rest.join(nodes.select(F.col("sid").alias(side), F.col("rep").alias(f"row_{side}")), side)
+    rest = _finer(rest.withColumn("apart", F.lit(0).cast("long")), sets, rule)
     more = _links(rest.select("a", "b", "row_a", "row_b"), texts, "jaccard-rest", rule)
     if not more.isEmpty():
         comps = components(links.unionByName(more), "a", "b", "jaccard")

@@ -118,3 +118,24 @@ def test_five_words_at_four_fifths_match_brute_force(docs, prose):
     want = [(i, len(sets[k]), rows[root[k]][0]) for k, (i, _) in enumerate(rows)]
     found = J.jaccard_classes(docs(rows), rule=J.Rule(5, 4, 5)).select("doc_id", "n_shingles", "component_id").collect()
     assert sorted(map(tuple, found)) == want
+
+
+def test_fine_sketches_never_count_more_than_the_difference():
+    rng = np.random.default_rng(4)
+    common = rng.integers(0, 1 << 63, 900).astype(np.uint64)
+    sets = [np.concatenate((common, rng.integers(0, 1 << 63, k).astype(np.uint64))) for k in (10, 90, 300)] + [common[:100]]
+    n = np.array([len(s) for s in sets])
+    fine = J.fine_sketches(np.repeat(np.arange(len(sets)), n), np.concatenate(sets), n)
+    assert [f and len(f) * 8 for f in fine] == [1024, 1024, 2048, None]
+    for a, b in ((0, 1), (0, 2), (1, 2)):
+        x, y = (np.frombuffer(fine[i], np.uint8).reshape(-1, 128) for i in (a, b))
+        apart = np.bitwise_count(np.bitwise_xor.reduce(x, axis=0) ^ np.bitwise_xor.reduce(y, axis=0)).sum()
+        assert 0 < apart <= len(np.setxor1d(sets[a], sets[b]))
+
+
+def test_large_sets_link_by_their_fine_sketches(docs, prose):
+    words = prose(1500, 21).split()
+    edited = " ".join("other" if i % 200 == 7 else w for i, w in enumerate(words))
+    far = " ".join(words[:800] + prose(700, 22).split())
+    found = {r["doc_id"]: r["component_id"] for r in J.jaccard_classes(docs([(1, " ".join(words)), (2, edited), (3, far)])).collect()}
+    assert found == {1: 1, 2: 1, 3: 3}
