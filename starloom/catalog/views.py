@@ -97,9 +97,6 @@ def play_log(spark: SparkSession, sf: str, names: bool = False) -> DataFrame:
         timestamp_to_epoch_millis("o_orderdate").alias("ts"),
         F.col("o_custkey").alias("userId"),
     )
-    log = lines.join(songs, F.col("part") == F.col("p_partkey")).join(
-        sessions, F.col("l_orderkey") == F.col("sessionId")
-    )
     columns = [
         "artist", "itemInSession", "length", "level", "location", "page", "sessionId", "song",
         "ts", "userAgent", "userId", *(c for c in LOG_ORDER if c not in ("page", "userAgent")),
@@ -110,8 +107,13 @@ def play_log(spark: SparkSession, sf: str, names: bool = False) -> DataFrame:
             F.col("c_mktsegment").alias("firstName"),
             F.col("c_name").alias("lastName"),
         )
-        log = log.join(users, F.col("userId") == F.col("c_custkey"))
+        # Joined to sessions, of which there are fewer than lines.
+        sessions = sessions.join(users, F.col("userId") == F.col("c_custkey"))
         columns += ["firstName", "lastName"]
+    # Sessions come last, so that the log lies by session.
+    log = lines.join(songs, F.col("part") == F.col("p_partkey")).join(
+        sessions, F.col("l_orderkey") == F.col("sessionId")
+    )
     return log.select(*columns)
 
 

@@ -6,6 +6,7 @@ from starloom.operators.aggregate import (
     domain_difference,
     frequency,
     group_mean,
+    mark_kept,
     pivot_values,
     table_shape,
     top_values,

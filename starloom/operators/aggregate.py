@@ -27,7 +27,25 @@ def dedupe(
     """
     if keep == "distinct":
         return df.distinct()
-    if keep not in KEEP:
+    ranked = df.withColumn("_rank", _rank(df, keys, keep, order))
+    return ranked.filter(F.col("_rank") == 1).drop("_rank")
+
+
+def mark_kept(
+    df: DataFrame, marks: Mapping[str, Sequence[str]], keep: str, order: Sequence[str]
+) -> DataFrame:
+    """Every row, with a flag per mark (flag -> keys): whether ``dedupe`` by these keys keeps it.
+
+    Keys that hold the keys of the first mark need no shuffle of their own, nor does the first if
+    the rows lie by some of its keys already. All rows of a key meet in one task.
+    """
+    return df.select("*", *[
+        (_rank(df, keys, keep, order) == 1).alias(flag) for flag, keys in marks.items()
+    ])
+
+
+def _rank(df: DataFrame, keys: Sequence[str], keep: str, order: Sequence[str]) -> Column:
+    if keep not in ("first", "last"):
         raise ValueError(f"keep {keep!r} is not one of {KEEP}")
     if not order:
         raise ValueError(f"keep={keep!r} needs an order")
@@ -37,8 +55,7 @@ def dedupe(
     ]
     columns = [*(F.col(c) for c in order), *(F.col(f"`{c}`") for c in rest)]
     ranked = [c.asc_nulls_last() if keep == "first" else c.desc_nulls_last() for c in columns]
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*ranked))
-    return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
+    return F.row_number().over(Window.partitionBy(*keys).orderBy(*ranked))
 
 
 def group_mean(df: DataFrame, keys: Sequence[str], means: Mapping[str, str]) -> DataFrame:

@@ -1,7 +1,8 @@
 """One table per question, keyed by what the question asks for.
 
 A keyed insert overwrites silently, so each table holds the last row loaded per key.
-``order`` names the load order and must be total within a key.
+``order`` names the load order and must be total within a key. A log from ``mark_last`` carries
+flags of these rows, so that its tables need no shuffle to find them.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from starloom.functions import full_name
-from starloom.operators import dedupe, drop_blank, point_lookup
+from starloom.operators import dedupe, drop_blank, mark_kept, point_lookup
 
 # Fixed positions of the fields that the flat event file keeps, and their names.
 KEPT_POSITIONS = (0, 2, 3, 4, 5, 6, 7, 8, 12, 13, 16)
@@ -21,12 +22,28 @@ KEPT_NAMES = (
 )
 
 
+SESSION_ITEM = ["sessionId", "itemInSession"]
+USER_ITEM = ["userId", *SESSION_ITEM]
+# Flags of the last row per key, in the order that lets one shuffle serve both.
+MARKS = {"_last_of_session": SESSION_ITEM, "_last_of_user": USER_ITEM}
+
+
+def mark_last(log: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The log with the flags in ``MARKS``: what a keyed insert by these keys would leave."""
+    return mark_kept(drop_blank(log, "artist"), MARKS, "last", order)
+
+
+def _last(log: DataFrame, flag: str, order: Sequence[str]) -> DataFrame:
+    if flag in log.columns:
+        return log.filter(flag)
+    return dedupe(drop_blank(log, "artist"), MARKS[flag], "last", order)
+
+
 def songs_by_session(log: DataFrame, order: Sequence[str]) -> DataFrame:
     """What was heard at an item of a session."""
-    rows = dedupe(drop_blank(log, "artist"), ["sessionId", "itemInSession"], "last", order)
+    rows = _last(log, "_last_of_session", order)
     return rows.select(
-        "sessionId",
-        "itemInSession",
+        *SESSION_ITEM,
         "artist",
         F.col("song").alias("song_title"),
         F.col("length").cast("float").alias("song_length"),
@@ -35,10 +52,9 @@ def songs_by_session(log: DataFrame, order: Sequence[str]) -> DataFrame:
 
 def artist_song_by_user(log: DataFrame, order: Sequence[str]) -> DataFrame:
     """What a user heard in a session, by item."""
-    keys = ["userId", "sessionId", "itemInSession"]
-    rows = dedupe(drop_blank(log, "artist"), keys, "last", order)
+    rows = _last(log, "_last_of_user", order)
     return rows.select(
-        *keys,
+        *USER_ITEM,
         "artist",
         F.col("song").alias("song_title"),
         full_name("firstName", "lastName").alias("user"),

@@ -152,15 +152,17 @@ def run_questions(
     """Flat quoted CSV of the log as an export, then one stored table per question.
 
     Each table is clustered by its key, so that a question reads few row groups. The
-    columns of ``order`` stand in the flat file beside the kept fields. The tables are built
-    from the same rows stored as parquet, which keeps null and empty text apart.
+    columns of ``order`` stand in the flat file, which is compressed, beside the kept fields. The
+    tables are built from the same rows stored as parquet, which keeps null and empty text apart
+    and has a flag for the last row of each key, found for all tables before the rows are stored.
     """
     kept = drop_blank(log, "artist").select(
         *questions.KEPT_NAMES, *[c for c in order if c not in questions.KEPT_NAMES]
     )
-    write_parquet(kept, f"{root}/log")
-    flat = read_parquet(spark, f"{root}/log", kept.schema)
-    write_csv(flat, f"{root}/flat", quote_all=True)
+    marked = questions.mark_last(kept, order)
+    write_parquet(marked, f"{root}/log")
+    flat = read_parquet(spark, f"{root}/log", marked.schema)
+    write_csv(flat.drop(*questions.MARKS), f"{root}/flat", quote_all=True, compression="gzip")
     built = {
         "songs_by_session": questions.songs_by_session(flat, order),
         "artist_song_by_user": questions.artist_song_by_user(flat, order),

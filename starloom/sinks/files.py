@@ -39,17 +39,19 @@ def write_csv(
     quote_all: bool = False,
     mode: str = "overwrite",
     max_records_per_file: int = 1_000_000,
+    compression: str = "none",
 ) -> None:
     """CSV files with a header each, written by the executors.
 
     Text comes back as it is, with line breaks, quotes and blanks at its ends. Null is
     written as nothing and empty text as two quotes; with ``quote_all`` null is
     ``NULL_MARK``, the only text that does not come back. ``max_records_per_file`` bounds
-    what one task has to read, since text with line breaks cannot be split.
+    what one task has to read, since text with line breaks cannot be split. ``read_csv`` takes
+    compressed files as they are.
     """
     out = df.write.mode(mode).option("header", True).option("sep", sep).option("lineSep", "\n")
     out = out.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-    out = out.option("maxRecordsPerFile", max_records_per_file)
+    out = out.option("maxRecordsPerFile", max_records_per_file).option("compression", compression)
     out = out.option("nullValue", NULL_MARK if quote_all else "")
     out.option("quoteAll", quote_all).option("escape", '"').csv(path)
 

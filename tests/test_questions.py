@@ -93,3 +93,33 @@ def test_run(spark, log, rows):
     }
     stored = spark.read.parquet(f"{root}/users_by_song")
     assert rows(questions.users_of_song(stored, 'The Letter "Q"')) == [("Teo Marsh",)]
+
+
+def test_marks_find_the_rows_of_the_keyed_insert_with_one_shuffle(spark, rows):
+    log = spark.createDataFrame(
+        [(1, 1, 5, "A", "old", 1.5, 10, "F", "x"), (1, 1, 6, "B", "other user", 2.5, 15, "F", "x"),
+         (1, 1, 5, "C", "new", 3.5, 20, "F", "x"), (1, None, 5, "D", "no item", 4.5, 1, "F", "x"),
+         (1, None, 5, "E", "no item", 4.5, None, "F", "x"), (1, 2, 5, "", "blank", 4.5, 30, "F", "x")],
+        "sessionId int, itemInSession int, userId int, artist string, song string, length double, ts long, "
+        "firstName string, lastName string",
+    )
+    marked = questions.mark_last(log, ["ts"])
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert rows(marked, "song", *questions.MARKS) == sorted([
+        ("old", False, False), ("other user", False, True), ("new", True, True),
+        ("no item", True, True), ("no item", False, False)])
+    for build in (questions.songs_by_session, questions.artist_song_by_user):
+        assert "Exchange" not in build(spark.createDataFrame(marked.collect(), marked.schema), ["ts"])._jdf.queryExecution().executedPlan().toString()
+        assert rows(build(marked, ["ts"])) == rows(build(log, ["ts"]))
+
+
+def test_run_stores_the_flat_file_compressed_and_whole(spark, log, rows):
+    root = scratch_path(spark, "questions")
+    runs.run_questions(spark, log, root, ["ts"])
+    stored = spark.read.parquet(f"{root}/log")
+    flat = stored.drop(*questions.MARKS)
+    back = read_csv(spark, f"{root}/flat", flat.schema)
+    assert rows(back) == rows(flat) and flat.columns == [*questions.KEPT_NAMES, "ts"]
+    assert all(f.endswith(".csv.gz") for f in back.inputFiles())
+    assert stored.columns[-2:] == list(questions.MARKS)
