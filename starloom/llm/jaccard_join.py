@@ -6,7 +6,9 @@ den / num; in band t linked sets differ in at most k = floor(2 r (den - num) / (
 shingles, r being the largest size of the band. The hashed shingle domain is cut into
 n1 = ceil((k + 1) / 2) parts of three sub-parts. By the pigeonhole rule one part differs in at most
 one shingle, so two of its three sub-parts are equal: the three pairs of sub-parts of every part
-are the signatures, and linked sets share at least one of them.
+are the signatures, and linked sets share at least one of them. The third sub-part of that part then
+differs in one shingle at most, so its parity sketch, which fills the low bits of a signature, in one
+bit: sets that meet with sketches further apart are no candidates of that signature.
 """
 
 from __future__ import annotations
@@ -25,8 +27,12 @@ from starloom.llm.components import components
 NUM, DEN = 9, 10  # two sets link when DEN * intersection >= NUM * union
 SHINGLE = 3
 WORDS = 8  # 64-bit words of the parity sketch
+THIRD = 24  # low bits of a signature: parity sketch of the sub-part that it leaves out
+SPREAD = 256  # different sketches under one signature that are all held against each other at once
+HOLD = 1 << 16  # rows of one bucket that are held at once
 FINE = 1 << 16  # most bits of the fine sketch
 BLOCK = 1024  # members of one bucket that are compared with as many others in one go
+LOW = np.uint64((1 << THIRD) - 1)
 CODES = c.byte_codes(101)
 Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
@@ -94,8 +100,8 @@ def _sums(doc: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
 
 def _signatures(
     doc: np.ndarray, hashed: np.ndarray, band: np.ndarray, use: np.ndarray, whole: np.ndarray, rule: Rule = RULE
-) -> tuple[np.ndarray, np.ndarray]:
-    """(document, signature) under one band for each document in use."""
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, signature, sketch of the third sub-part) under one band for each document in use."""
     top = rule.lows[band] * rule.den // rule.num
     k = (rule.den - rule.num) * 2 * top // (rule.den + rule.num)
     parts = np.where(use & (k > 0), (k + 2) // 2, 0)
@@ -106,16 +112,20 @@ def _signatures(
     sums = np.zeros(base[-1], np.uint64)
     np.add.at(sums, base[d] + cell, c.mix(h ^ np.uint64(0x5BD1E995)))
     sums = sums.reshape(-1, 3)
+    bit = (base[d] + cell) * THIRD + (c.mix(h + np.uint64(31)) % np.uint64(THIRD)).astype(np.int64)
+    odd = (np.bincount(bit, minlength=base[-1] * THIRD) & 1).astype(bool).reshape(-1, THIRD)
+    third = np.packbits(odd, axis=1).astype(np.uint64) @ (np.uint64(1) << np.arange(0, THIRD, 8, dtype=np.uint64))
+    third = third.reshape(-1, 3)
     owner = np.repeat(np.arange(len(parts)), parts)
     part = np.arange(len(owner)) - base[owner] // 3
     code = (band[owner] * (1 << 34) + part * 4).astype(np.uint64)
     rows = [
-        (owner, c.mix(sums[:, i] * np.uint64(0xD6E8FEB86659FD93) + c.mix(sums[:, j] + code + np.uint64(s))))
+        (owner, c.mix(sums[:, i] * np.uint64(0xD6E8FEB86659FD93) + c.mix(sums[:, j] + code + np.uint64(s))), third[:, 2 - s])
         for s, (i, j) in enumerate(((0, 1), (0, 2), (1, 2)))
     ]
     alone = np.flatnonzero(use & (k == 0))
-    rows.append((alone, c.mix(whole[alone] + band[alone].astype(np.uint64) + np.uint64(3))))
-    return np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows])
+    rows.append((alone, c.mix(whole[alone] + band[alone].astype(np.uint64) + np.uint64(3)), np.zeros(len(alone), np.uint64)))
+    return tuple(np.concatenate([r[i] for r in rows]) for i in range(3))
 
 
 def _sizes(doc: np.ndarray, hashed: np.ndarray, docs: int) -> tuple[np.ndarray, np.ndarray]:
@@ -163,7 +173,7 @@ def set_rows(rule: Rule = RULE) -> Batches:
 
 
 def signature_rows(rule: Rule = RULE) -> Batches:
-    """(text) to (sig, sid): the signatures of each different set of a task."""
+    """(text) to (sig, sid): the signatures of each different set of a task, sketches in their low bits."""
     lows = rule.lows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,36 +194,75 @@ def signature_rows(rule: Rule = RULE) -> Batches:
                     # a larger partner may lie in the next band
                     (fresh & (n * rule.den // rule.num >= lows[band + 1]), band + 1),
                 ):
-                    owner, sig = _signatures(doc, hashed, at, use, sid, rule)
-                    yield pa.record_batch([pa.array(c.signed(sig)), pa.array(c.signed(sid[owner]))], names=["sig", "sid"])
+                    owner, sig, third = _signatures(doc, hashed, at, use, sid, rule)
+                    yield pa.record_batch([pa.array(c.signed(sig & ~LOW | third)), pa.array(c.signed(sid[owner]))], names=["sig", "sid"])
 
     return run
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (sig, sid) to (sig, sid, center) of signatures of two sets or more; center is the smallest set.
+    """Rows sorted by (sig, sid) to (sig, sid, center) of the sets that may link with another set of their bucket.
 
-    One pass: of a bucket only its first and its last set are held.
+    A bucket holds the signatures that are equal but for the sketch. ``center`` is the smallest set
+    that comes first with its sketch and whose sketch is near, perhaps the set itself. One pass: of a
+    bucket with more than HOLD rows all sets are kept, and only two are held from one part to the next.
     """
-    held = None  # signature, last set, center, and whether the center was written
+    held, wide = None, None
     for batch in batches:
         sig, sid = (np.asarray(batch.column(i)) for i in (0, 1))
+        if held is not None:
+            sig, sid = np.concatenate((held[0], sig)), np.concatenate((held[1], sid))
         if not len(sig):
             continue
-        before = (sig[:1] + 1, sid[:1]) if held is None else (np.array([held[0]]), np.array([held[1]]))
-        opens = sig != np.concatenate((before[0], sig[:-1]))
-        new = opens | (sid != np.concatenate((before[1], sid[:-1])))
-        sig, sid, opens = sig[new], sid[new], opens[new]
-        if not len(sig):
-            continue
-        center = np.concatenate((np.array([0 if held is None else held[2]], np.int64), sid[opens]))[np.cumsum(opens)]
-        met = ~opens
-        met[:-1] |= ~opens[1:]
-        out = [sig[met], sid[met], center[met]]
-        if not opens[0] and not held[3]:
-            out = [np.concatenate((np.array([x], np.int64), y)) for x, y in zip((held[0], held[2], held[2]), out, strict=True)]
-        yield pa.record_batch([pa.array(x) for x in out], names=["sig", "sid", "center"])
-        held = int(sig[-1]), int(sid[-1]), int(center[-1]), not opens[-1]
+        cut = int(np.searchsorted(sig >> THIRD, sig[-1] >> THIRD))
+        if len(sig) - cut > HOLD:
+            wide = sig[-1] >> THIRD
+            yield _met(sig, sid, wide)
+            ends = [cut, int(np.searchsorted(sig, sig[-1]))]
+            held = sig[ends], sid[ends]
+        else:
+            yield _met(sig[:cut], sid[:cut], wide)
+            held = sig[cut:], sid[cut:]
+    if held is not None:
+        yield _met(*held, wide)
+
+
+def _met(sig: np.ndarray, sid: np.ndarray, wide: int | None) -> pa.RecordBatch:
+    """``_shared`` of whole buckets, or of a part of the bucket ``wide``."""
+    new = np.ones(len(sig), bool)
+    new[1:] = (sig[1:] != sig[:-1]) | (sid[1:] != sid[:-1])
+    sig, sid = sig[new], sid[new]
+    bucket = sig >> THIRD
+    alone = np.ones(len(sig) + 1, bool)
+    alone[1:-1] = bucket[1:] != bucket[:-1]
+    several = ~(alone[1:] & alone[:-1])
+    if wide is not None:
+        several |= bucket == wide
+    sig, sid = sig[several], sid[several]
+    # one leader for each sketch of a bucket
+    lead = np.flatnonzero(np.append(True, sig[1:] != sig[:-1])) if len(sig) else np.zeros(0, np.int64)
+    mark, center = sig[lead], sid[lead].copy()
+    near = np.diff(np.append(lead, len(sig))) > 1
+    d = 1
+    while d < len(mark) and (same := mark[d:] >> THIRD == mark[:-d] >> THIRD).any():
+        if d > SPREAD:
+            near |= np.isin(mark >> THIRD, mark[d:][same] >> THIRD)
+            break
+        i = np.flatnonzero(same & (_apart(mark[d:], mark[:-d]) <= 1))
+        near[i] = near[i + d] = True
+        center[i] = np.minimum(center[i], sid[lead[i + d]])
+        center[i + d] = np.minimum(center[i + d], sid[lead[i]])
+        d += 1
+    if wide is not None:
+        near |= mark >> THIRD == wide
+    group = np.repeat(np.arange(len(lead)), np.diff(np.append(lead, len(sig))))
+    met = near[group]
+    return pa.record_batch([pa.array(x[met]) for x in (sig, sid, center[group])], names=["sig", "sid", "center"])
+
+
+def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Bits in which the sketches of signatures differ."""
+    return np.bitwise_count((x ^ y) & np.int64(LOW))
 
 
 SKETCH = [f"k{i}" for i in range(WORDS)]
@@ -334,7 +383,7 @@ def _verified(rule: Rule) -> Batches:
 
 
 def _bucket_pairs(rule: Rule) -> Batches:
-    """Rows sorted by (sig, lo, hi): pairs of different components that may link."""
+    """Rows sorted by (bucket, lo, hi): pairs of different components that may link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[str, np.ndarray] = {}
@@ -342,7 +391,7 @@ def _bucket_pairs(rule: Rule) -> Batches:
             got = {name: np.asarray(batch.column(name)) for name in batch.schema.names}
             if kept:
                 got = {k: np.concatenate((kept[k], v)) for k, v in got.items()}
-            change = (got["sig"] != got["sig"][-1]) | (got["lo"] != got["lo"][-1]) | (got["hi"] != got["hi"][-1])
+            change = (got["bucket"] != got["bucket"][-1]) | (got["lo"] != got["lo"][-1]) | (got["hi"] != got["hi"][-1])
             cut = int(np.flatnonzero(change)[-1]) + 1 if change.any() else 0
             kept = {k: v[cut:] for k, v in got.items()}
             if cut:
@@ -355,10 +404,11 @@ def _bucket_pairs(rule: Rule) -> Batches:
 
 def _compared(g: dict[str, np.ndarray], rule: Rule) -> pa.RecordBatch:
     sketch = np.stack([g[k] for k in SKETCH], axis=1).view(np.uint64)
-    same = lambda d: (g["sig"][d:] == g["sig"][:-d]) & (g["lo"][d:] == g["lo"][:-d]) & (g["hi"][d:] == g["hi"][:-d])
+    same = lambda d: (g["bucket"][d:] == g["bucket"][:-d]) & (g["lo"][d:] == g["lo"][:-d]) & (g["hi"][d:] == g["hi"][:-d])
     found, d = [], 1
-    while d < len(g["sig"]) and (near := same(d)).any():
+    while d < len(g["bucket"]) and (near := same(d)).any():
         i = np.flatnonzero(near & (g["comp"][d:] != g["comp"][:-d]) & ((g["block"][d:] != g["block"][:-d]) | (g["lo"][d:] == g["hi"][d:])))
+        i = i[_apart(g["sig"][i], g["sig"][i + d]) <= 1]
         na, nb = g["n"][i], g["n"][i + d]
         i = i[rule.den * np.minimum(na, nb) >= rule.num * np.maximum(na, nb)]
         apart = np.bitwise_count(sketch[i] ^ sketch[i + d]).sum(axis=1, dtype=np.int64)
@@ -380,7 +430,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Repeated rows and repeated or null ids stay rows of their own; a null id ranks last. Further
     columns are ignored. No row is dropped and no bucket is capped.
 
-    Candidates are first the pairs of each bucket's members with its smallest set, nearest by sketch first; members of
+    Candidates are first the pairs of each bucket's members with a smaller set whose signature sketch is near, nearest by sketch first; members of
     different components that share a bucket follow, in blocks. Both are held against a parity
     sketch that never rejects a link, then verified on whole texts. Pairs inside a component
     are not needed for the classes.
@@ -396,7 +446,8 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         raise ValueError("two different shingle sets share a 64-bit hash; change the codes")
     # one shuffle of signatures, which are not stored; a set that many rows of a task have is sent once
     signed = texts.select("text").mapInArrow(signature_rows(rule), "sig long, sid long")
-    sorted_by = signed.repartition("sig").sortWithinPartitions("sig", "sid")
+    bucket = F.shiftright("sig", THIRD)
+    sorted_by = signed.repartition(bucket).sortWithinPartitions("sig", "sid")
     members = c.stored(sorted_by.mapInArrow(_shared, "sig long, sid long, center long"), "jaccard-members")
 
     star = members.where("center < sid").select(F.col("center").alias("a"), F.col("sid").alias("b")).distinct()
@@ -404,15 +455,15 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links, comps = _star_links(star, texts, rule)
 
     placed = members.join(comps.withColumnRenamed("node", "sid"), "sid", "left").select(
-        "sig", "sid", F.coalesce("component", "sid").alias("comp"))
-    mixed = placed.groupBy("sig").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("size")).where("c0 < c1")
-    mixed = mixed.select("sig", F.ceil(F.col("size") / BLOCK).cast("long").alias("blocks"))
+        bucket.alias("bucket"), "sig", "sid", F.coalesce("component", "sid").alias("comp"))
+    mixed = placed.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("size")).where("c0 < c1")
+    mixed = mixed.select("bucket", F.ceil(F.col("size") / BLOCK).cast("long").alias("blocks"))
     dealt = (
-        placed.join(mixed, "sig").join(nodes.select("sid", "n", *SKETCH), "sid")
+        placed.join(mixed, "bucket").join(nodes.select("sid", "n", *SKETCH), "sid")
         .withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .select("sig", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "sid", "comp", "n", *SKETCH)
-        .repartition("sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi", "block", "sid")
+        .select("bucket", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "sig", "sid", "comp", "n", *SKETCH)
+        .repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi", "block", "sid")
     )
     rest = dealt.mapInArrow(_bucket_pairs(rule), "a long, b long").distinct()
     rest = rest.join(star.select("a", "b"), ["a", "b"], "left_anti")

@@ -139,3 +139,49 @@ def test_large_sets_link_by_their_fine_sketches(docs, prose):
     far = " ".join(words[:800] + prose(700, 22).split())
     found = {r["doc_id"]: r["component_id"] for r in J.jaccard_classes(docs([(1, " ".join(words)), (2, edited), (3, far)])).collect()}
     assert found == {1: 1, 2: 1, 3: 3}
+
+
+def _members(rows, at=None):
+    rows = sorted(rows)
+    sig, sid = (np.array([r[i] for r in rows], np.int64) for i in (0, 1))
+    parts = [(sig[i: i + (at or len(sig))], sid[i: i + (at or len(sig))]) for i in range(0, len(sig), at or len(sig))]
+    batches = [J.pa.record_batch([J.pa.array(x), J.pa.array(y)], names=["sig", "sid"]) for x, y in parts]
+    return [tuple(r.values()) for b in J._shared(iter(batches)) for r in b.to_pylist()]
+
+
+@pytest.mark.parametrize("at", [None, 1, 2, 3])
+def test_signatures_meet_only_where_the_third_sub_parts_are_near(at):
+    near, far, other = 5 << J.THIRD, (5 << J.THIRD) + 0b111, -3 << J.THIRD
+    rows = [(near, 40), (near, 40), (near + 1, 10), (near + 3, 30), (far + 0b11000, 20), (other, 7), (other + 0b11, 8), (9 << J.THIRD, 1)]
+    # one bit apart: 40 with 10, 10 with 30; the others differ in two bits or more, or are alone
+    assert _members(rows, at) == [(near, 40, 10), (near + 1, 10, 10), (near + 3, 30, 10)]
+
+
+def test_sets_of_a_bucket_with_many_sketches_or_rows_all_stay(monkeypatch):
+    monkeypatch.setattr(J, "SPREAD", 3)
+    many = [(4 << J.THIRD | k * 0b111, k) for k in range(30)]
+    assert {r[1] for r in _members(many)} == set(range(30))
+    monkeypatch.setattr(J, "HOLD", 4)
+    assert {r[1] for r in _members(many + [(5 << J.THIRD, 99)], 3)} == set(range(30))
+
+
+def test_linked_sets_are_near_by_a_shared_signature():
+    rng = np.random.default_rng(6)
+    rule, linked = J.Rule(5, 4, 5), 0
+    for size in (9, 10, 40, 95, 300, 1000):
+        for _ in range(20):
+            drop, more = rng.integers(0, size // 9 + 1, 2)
+            base = rng.integers(1, 1 << 63, size, dtype=np.uint64)
+            other = np.concatenate((base[drop:], rng.integers(1, 1 << 63, more, dtype=np.uint64)))
+            if 5 * (size - drop) < 4 * (size + more):
+                continue
+            linked += 1
+            both = []
+            for s in (base, other):
+                n, sid = np.array([len(s)]), np.array([c.mix(s).sum()], np.uint64)
+                band = np.searchsorted(rule.lows, n, "right") - 1
+                doc = np.zeros(len(s), np.int64)
+                found = [J._signatures(doc, s, at, n > 0, sid, rule) for at in (band, band + 1)]
+                both.append({(int(x), int(y)) for _, sig, third in found for x, y in zip(sig, third, strict=True)})
+            assert any(x == u and (y ^ v).bit_count() <= 1 for x, y in both[0] for u, v in both[1] if x == u)
+    assert linked > 50
