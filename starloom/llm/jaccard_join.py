@@ -9,6 +9,12 @@ one shingle, so two of its three sub-parts are equal: the three pairs of sub-par
 are the signatures, and linked sets share at least one of them. The third sub-part of that part then
 differs in one shingle at most, so its parity sketch, which fills the low bits of a signature, in one
 bit: sets that meet with sketches further apart are no candidates of that signature.
+
+Sets of any text meet where both sub-parts of a signature are empty. So there are spare parts, as many
+as a set has parts with two empty sub-parts: linked sets then differ in at most one shingle in
+spare + 1 parts, and each set leaves out the signatures of empty sub-parts in the first ``spare`` parts that
+have them. If all those spare + 1 parts meet in empty sub-parts only, the last is among the first
+``spare`` of neither set, so no link is lost.
 """
 
 from __future__ import annotations
@@ -61,6 +67,11 @@ class Rule:
         """The smallest size of each band."""
         return LOWS if (self.num, self.den) == (NUM, DEN) else _bands(self.num, self.den)
 
+    def spare(self, top: np.ndarray, parts: np.ndarray) -> np.ndarray:
+        """Parts with two empty sub-parts of three that the smallest sets under a band have, whose largest have ``top`` shingles."""
+        least = top * (self.num / self.den) ** 2
+        return (3 * np.exp(-2 / 3 * least / parts) * parts).astype(np.int64) + (parts >= 32)
+
 
 LOWS = _bands(NUM, DEN)
 RULE = Rule()
@@ -104,7 +115,8 @@ def _signatures(
     """(document, signature, sketch of the third sub-part) under one band for each document in use."""
     top = rule.lows[band] * rule.den // rule.num
     k = (rule.den - rule.num) * 2 * top // (rule.den + rule.num)
-    parts = np.where(use & (k > 0), (k + 2) // 2, 0)
+    spare = rule.spare(top, k // 2 + 1)
+    parts = np.where(use & (k > 0), k // 2 + 1 + spare, 0)
     base = np.concatenate(([0], np.cumsum(parts * 3)))
     mine = parts[doc] > 0
     d, h = doc[mine], hashed[mine]
@@ -118,11 +130,16 @@ def _signatures(
     third = third.reshape(-1, 3)
     owner = np.repeat(np.arange(len(parts)), parts)
     part = np.arange(len(owner)) - base[owner] // 3
+    empty = (np.bincount(base[d] + cell, minlength=base[-1]) == 0).reshape(-1, 3)
+    hollow = empty.sum(axis=1) > 1
+    before = np.cumsum(hollow) - hollow  # hollow parts of this and all sets before
+    left_out = hollow & (before - before[base[owner] // 3] < spare[owner])
     code = (band[owner] * (1 << 34) + part * 4).astype(np.uint64)
-    rows = [
-        (owner, c.mix(sums[:, i] * np.uint64(0xD6E8FEB86659FD93) + c.mix(sums[:, j] + code + np.uint64(s))), third[:, 2 - s])
-        for s, (i, j) in enumerate(((0, 1), (0, 2), (1, 2)))
-    ]
+    rows = []
+    for s, (i, j) in enumerate(((0, 1), (0, 2), (1, 2))):
+        sent = ~(left_out & empty[:, i] & empty[:, j])
+        sig = c.mix(sums[:, i] * np.uint64(0xD6E8FEB86659FD93) + c.mix(sums[:, j] + code + np.uint64(s)))
+        rows.append((owner[sent], sig[sent], third[sent, 2 - s]))
     alone = np.flatnonzero(use & (k == 0))
     rows.append((alone, c.mix(whole[alone] + band[alone].astype(np.uint64) + np.uint64(3)), np.zeros(len(alone), np.uint64)))
     return tuple(np.concatenate([r[i] for r in rows]) for i in range(3))

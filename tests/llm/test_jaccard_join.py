@@ -185,3 +185,48 @@ def test_linked_sets_are_near_by_a_shared_signature():
                 both.append({(int(x), int(y)) for _, sig, third in found for x, y in zip(sig, third, strict=True)})
             assert any(x == u and (y ^ v).bit_count() <= 1 for x, y in both[0] for u, v in both[1] if x == u)
     assert linked > 50
+
+
+def _near_signatures(sets, rule):
+    """Signatures of each set of hashes, under both of its bands, and their sketches."""
+    n = np.array([len(s) for s in sets])
+    doc, hashed, sid = np.repeat(np.arange(len(sets)), n), np.concatenate(sets), np.arange(len(sets)).astype(np.uint64)
+    band = np.searchsorted(rule.lows, n, "right") - 1
+    found = [{} for _ in sets]
+    for at, use in ((band, n > 0), (band + 1, n * rule.den // rule.num >= rule.lows[band + 1])):
+        for o, s, t in zip(*(x.tolist() for x in J._signatures(doc, hashed, at, use, sid, rule)), strict=True):
+            found[o][s & ~int(J.LOW)] = t
+    return found
+
+
+def _meet(a, b):
+    return any((a[s] ^ b[s]).bit_count() <= 1 for s in a.keys() & b.keys())
+
+
+def test_large_sets_without_common_shingles_hardly_meet():
+    rng = np.random.default_rng(12)
+    found = _near_signatures([rng.integers(1, 1 << 63, size, dtype=np.uint64) for size in rng.integers(1500, 1800, 80)], J.Rule(5, 4, 5))
+    met = sum(_meet(found[a], found[b]) for a in range(80) for b in range(a))
+    assert met <= 6  # 42 without spare parts
+
+
+@pytest.mark.parametrize("size", [30, 300, 1600])
+def test_sets_that_only_agree_in_few_parts_still_meet(size):
+    """The differences, as many as a link allows, go two by two into parts where they hurt most."""
+    rng, rule = np.random.default_rng(size), J.Rule(5, 4, 5)
+    base = rng.integers(1, 1 << 63, size, dtype=np.uint64)
+    band = np.searchsorted(rule.lows, size, "right") - 1
+    k = 2 * (rule.lows[band] * 5 // 4) // 9
+    parts = k // 2 + 1 + int(rule.spare(np.array([rule.lows[band] * 5 // 4]), np.array([k // 2 + 1]))[0])
+    cell = (c.mix(base + np.uint64(7)) % np.uint64(parts * 3)).astype(np.int64)
+    full = np.bincount(cell, minlength=parts * 3).reshape(-1, 3) > 0
+    for order in (np.argsort(-full.sum(axis=1), kind="stable"), np.arange(parts), np.arange(parts)[::-1]):
+        gone = []
+        for part in order:
+            mine = np.flatnonzero(cell // 3 == part)
+            _, first = np.unique(cell[mine], return_index=True)  # from two sub-parts where there are two
+            if len(first) > 1 and 5 * (size - len(gone) - 2) >= 4 * size:
+                gone += mine[first[:2]].tolist()
+        other = np.delete(base, gone)
+        assert 5 * len(other) >= 4 * size and len(gone) >= size // 5 - 2
+        assert _meet(*_near_signatures([base, other], rule))
