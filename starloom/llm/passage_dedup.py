@@ -222,7 +222,7 @@ def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_runs(texts: DataFrame) -> DataFrame:
-    """(_row, runs): first word, and whether it stays, of every window of MIN_RUN words that (_row, text) holds more than once.
+    """(_row, runs): first word of every window of MIN_RUN words that (_row, text) holds more than once, as -1 - word if it stays.
 
     The first place stays, and so do windows of its text that overlap it.
     """
@@ -233,7 +233,7 @@ def repeated_runs(texts: DataFrame) -> DataFrame:
     runs = c.stored(runs, "passage-runs")
     again = runs.groupBy("g").agg(F.count("*").alias("n"), F.min(F.struct("_row", "word")).alias("first")).where("n > 1")
     stays = (F.col("_row") == F.col("first._row")) & (F.col("word") < F.col("first.word") + MIN_RUN)
-    found = runs.join(again, "g").select("_row", F.struct("word", stays.alias("stays")).alias("r"))
+    found = runs.join(again, "g").select("_row", F.when(stays, -1 - F.col("word")).otherwise(F.col("word")).cast("int").alias("r"))
     return found.groupBy("_row").agg(F.collect_list("r").alias("runs"))
 
 
@@ -312,23 +312,33 @@ def _stretches(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[0::2], edge[1::2]
 
 
-def _marked(whole: bytes, found: list[dict], windows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _covered(first: np.ndarray, n: int) -> np.ndarray:
+    """Which of n words a window of MIN_RUN words covers; the windows begin at ``first``."""
+    return np.cumsum(np.bincount(first, minlength=n + 1) - np.bincount(first + MIN_RUN, minlength=n + 1))[:n] > 0
+
+
+def _parts(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Where the items of each row of a list column begin and end, and all items; a null list has none."""
+    lengths = np.asarray(column.value_lengths().fill_null(0))
+    return np.concatenate(([0], np.cumsum(lengths))), column.flatten()
+
+
+def _marked(whole: bytes, found: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words of a text, which of them are duplicated, and which of these are not the first."""
     starts, ends = c.word_bounds(np.frombuffer(whole + b"\n", np.uint8))
     both, gone = np.zeros(len(starts), bool), np.zeros(len(starts), bool)
     before = None
-    for place, start, end, stays in sorted((d["place"], d["start"], d["end"], d["stays"]) for d in found):
-        x, y = np.searchsorted(starts, (start, end))
+    found = found[np.lexsort(found.T[::-1])]
+    spans = np.searchsorted(starts, found[:, 1:3])
+    for (place, _, _, stays), (x, y) in zip(found.tolist(), spans.tolist(), strict=True):
         # short sentences between two duplicated paragraphs go with them
         follows = before is not None and before[0] + 1 == place
         both[before[1] if follows else x: y] = True
         if not stays:
             gone[before[1] if follows and not before[2] else x: y] = True
         before = place, y, stays
-    for w in windows:
-        both[w["word"]: w["word"] + MIN_RUN] = True
-        if not w["stays"]:
-            gone[w["word"]: w["word"] + MIN_RUN] = True
+    both |= _covered(np.where(windows < 0, -1 - windows, windows), len(starts))
+    gone |= _covered(windows[windows >= 0], len(starts))
     return starts, ends, both, gone
 
 
@@ -336,11 +346,14 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(_row, text, duplicated paragraphs, id, repeated windows) to (_row, id, kept text, removed spans, duplicated words, removed words)."""
     for batch in batches:
         out: list[list] = [[], [], [], []]
-        for text, found, windows in zip(batch.column(1), batch.column(2), batch.column(4), strict=True):
+        (cut, units), (at, runs) = _parts(batch.column(2)), _parts(batch.column(4))
+        units = np.stack([np.asarray(x.cast(pa.int64())) for x in units.flatten()], axis=1)
+        runs = np.asarray(runs).astype(np.int64)
+        for i, text in enumerate(batch.column(1)):
             whole = (text.as_py() or "").encode()
             spans, duplicated, removed = [], 0, 0
-            found, windows = found.as_py() or [], windows.as_py() or []
-            if found or windows:
+            found, windows = units[cut[i]: cut[i + 1]], runs[at[i]: at[i + 1]]
+            if len(found) or len(windows):
                 starts, ends, both, gone = _marked(whole, found, windows)
                 for x, y in zip(*_stretches(both), strict=True):
                     if y - x < MIN_RUN:

@@ -135,3 +135,36 @@ def test_similar_members_of_a_band_behind_a_dissimilar_leader(docs, prose, monke
     found = {r["h"]: r["comp"] for r in clusters.collect()}
     alike = {r["h"] for r in units.collect() if r["_row"] >= 100 or r["_row"] == order[5]}
     assert found.keys() == alike and len(set(found.values())) == 1
+
+
+def test_marked_words_match_word_by_word_marking():
+    """Windows come as numbers, -1 - word where they stay; a text may have none, and none at all."""
+    rng = random.Random(31)
+    texts = [" ".join(f"w{k}" for k in range(n)) for n in (25, 60, 300, 40, 0)]
+    windows = [[(w, rng.random() < 0.4) for w in range(len(t.split()) - P.MIN_RUN + 1) if rng.random() < 0.2 or len(t) < 100] for t in texts[:3]] + [None, None]
+    units = [None, [(3, 40, 80, True), (1, 4, 20, False), (2, 24, 30, False)], None, [(0, 0, 110, False)], None]
+    unit = pa.list_(pa.struct([("place", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("stays", pa.bool_())]))
+    batch = pa.record_batch(
+        [pa.array(range(5)), pa.array(texts), pa.array(units, unit), pa.array(range(5)),
+         pa.array([w and [-1 - x if stays else x for x, stays in w] for w in windows], pa.list_(pa.int32()))], names=["_row", "text", "found", "_id", "runs"])
+    for at in (0, 2):
+        got = pa.Table.from_batches(P._cut(iter([batch.slice(at)]))).to_pylist()
+        for r, text, found, runs in zip(got, texts[at:], units[at:], windows[at:], strict=True):
+            words, both, gone = text.split(), set(), set()
+            starts = np.cumsum([0] + [len(w) + 1 for w in words])[:-1]
+            for w, stays in runs or []:
+                both |= set(range(w, w + P.MIN_RUN))
+                gone |= set() if stays else set(range(w, w + P.MIN_RUN))
+            for _, start, end, stays in found or []:
+                inside = {i for i, x in enumerate(starts) if start <= x < end}
+                both |= inside
+                gone |= set() if stays else inside
+            if found and len(found) > 1:  # the words between two paragraphs that follow each other
+                both |= {i for i, x in enumerate(starts) if 4 <= x < 80}
+                gone |= {i for i, x in enumerate(starts) if 4 <= x < 30}
+            flags = np.isin(np.arange(len(words)), sorted(both))
+            for x, y in zip(*P._stretches(flags), strict=True):
+                both -= set(range(x, y)) if y - x < P.MIN_RUN else set()
+            gone &= both
+            assert (r["n_duplicated"], r["n_removed"]) == (len(both), len(gone))
+            assert r["text"].split() == [w for i, w in enumerate(words) if i not in gone]
