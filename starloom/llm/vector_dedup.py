@@ -1,10 +1,12 @@
 """Near duplicates among embeddings: spherical k-means cells and blocked cosine products.
 
 Centres are fitted on a bounded sample. Every vector is at home in the cell of its nearest centre
-and a guest in each cell whose centre is nearly as near; it is compared with the others there. A
-cell is cut into blocks and its pairs of blocks are dealt to tasks. A task multiplies two blocks in
-double precision and sends, for each vector, how many it is linked with and one edge to the
-smallest vector it reaches inside the two blocks: never the pairs.
+and a guest in each cell whose centre is nearly as near; it is compared with those at home there.
+Cells are large, so that a vector is a guest in few, and what travels is packed: one row has all
+vectors that a batch sends to a cell. A cell with very many at home is cut into blocks. A task holds
+one block and lets the others pass by. It multiplies in single precision, decides what is near the
+threshold in double precision and sends, for each vector, how many it is linked with and one edge
+towards the smallest vector of the block that it reaches: never the pairs.
 """
 
 from __future__ import annotations
@@ -13,8 +15,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.llm import common as c
 from starloom.llm.components import components
@@ -23,28 +27,36 @@ THRESHOLD = 0.95
 SAMPLE = 16_384  # vectors that the centres are fitted on, at most
 SAMPLE_BYTES = 1 << 26
 MAX_CELLS = 4096
+FEW_CELLS = 16  # more cells only if this many would have more than AT_HOME vectors each
+AT_HOME = 4096
 MARGIN = 0.12  # a centre this much less similar than the nearest still takes the vector as a guest
-BLOCK = 1024
+BLOCK = 16_384  # vectors at home that a task holds, at most
+BLOCK_BYTES = 1 << 25
+PRODUCTS = 1 << 22  # cosines that a task has at once
 ITERATIONS = 8
 
 
-def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(_row, embedding) to (_row, vec): the doubles of valid vectors, null for the others."""
-    for batch in batches:
-        out = []
-        for scalar in batch.column(1):
-            vec = None
-            if scalar.is_valid and len(scalar.values) and not scalar.values.null_count:
-                x = np.asarray(scalar.values, np.float64)
-                if np.isfinite(x).all() and x.any():
-                    vec = (x + 0.0).tobytes()  # + 0.0: one zero
-            out.append(vec)
-        yield pa.record_batch([batch.column(0), pa.array(out, pa.binary())], names=["_row", "vec"])
-
-
-def unit_rows(vectors: list[bytes]) -> np.ndarray:
-    x = np.frombuffer(b"".join(vectors), np.float64).reshape(len(vectors), -1)
-    x = x / np.abs(x).max(axis=1, keepdims=True)  # squares of very large or small components stay finite
+def _clean(kind: str):
+    """(_row, _id, embedding) to (_row, _id, vec): the components of valid vectors, null for the others."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(2)
+            sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            values = column.flatten().cast(pa.float32() if kind == "f4" else pa.float64()).to_numpy(zero_copy_only=False) + 0.0  # one zero
+            values = values.astype(kind)  # null is NaN
+            ends = np.cumsum(sizes)
+            sums = lambda x: np.diff(np.concatenate(([0], np.cumsum(x)))[np.concatenate(([0], ends))])
+            valid = (sums(~np.isfinite(values)) == 0) & (sums(values != 0) > 0)
+            vecs = [values[end - size: end].tobytes() if ok else None for ok, size, end in zip(valid.tolist(), sizes.tolist(), ends.tolist(), strict=True)]
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(vecs, pa.binary())], names=["_row", "_id", "vec"])
+
+    return run
+
+
+def unit_rows(data: bytes, n: int, kind: str) -> np.ndarray:
+    """The vectors of joined components, in double precision and of length one."""
+    x = np.frombuffer(data, kind).reshape(n, -1).astype(np.float64)
+    x /= np.abs(x).max(axis=1, keepdims=True)  # squares of very large or small components stay finite
     return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 
@@ -61,86 +73,221 @@ def fit_centres(sample: np.ndarray, cells: int) -> np.ndarray:
     return centres
 
 
-def _assigned(held):
+def _assigned(batches: Iterator[pa.RecordBatch], held, kind: str) -> Iterator[tuple]:
+    """Slices of (rep, copies, vec) of one vector length: reps, copies, vectors, homes, and (place, cell) where the slice meets cells."""
+    for batch in batches:
+        lengths = pc.binary_length(batch.column("vec")).to_numpy()
+        for size in np.unique(lengths).tolist():
+            own = batch.filter(pa.array(lengths == size))
+            first, centres = held.value[size]
+            step = max(1, min(4096, PRODUCTS // max(len(centres), size)))
+            for at in range(0, own.num_rows, step):
+                part = own.slice(at, step)
+                data = np.frombuffer(b"".join(part.column("vec").to_pylist()), np.uint8).reshape(part.num_rows, size)
+                near = unit_rows(data.tobytes(), part.num_rows, kind) @ centres.T
+                best = near.max(axis=1, keepdims=True)
+                place, cell = np.nonzero(near >= best - MARGIN)
+                yield part.column("rep").to_numpy(), part.column("copies").to_numpy(), data, first + near.argmax(axis=1), place, first + cell
+
+
+def _counted(held, kind: str):
+    """How many are at home in each cell."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                vectors = part.column("vec").to_pylist()
-                sizes = np.array([len(v) for v in vectors])
-                homes, places, cells = np.empty(len(vectors), np.int64), [], []
-                for size in np.unique(sizes).tolist():
-                    mine = np.flatnonzero(sizes == size)
-                    first, centres = held.value[size]
-                    near = unit_rows([vectors[i] for i in mine]) @ centres.T
-                    homes[mine] = first + near.argmax(axis=1)
-                    row, cell = np.nonzero(near >= near.max(axis=1, keepdims=True) - MARGIN)
-                    places.append(mine[row])
-                    cells.append(first + cell)
-                place, cell = np.concatenate(places), np.concatenate(cells)
-                order = np.argsort(place, kind="stable")
-                ends = np.concatenate(([0], np.cumsum(np.bincount(place, minlength=len(vectors))))).astype(np.int32)
-                yield pa.record_batch(
-                    [part.column("rep"), part.column("copies"), part.column("vec"), pa.array(homes), pa.ListArray.from_arrays(ends, cell[order])],
-                    names=["rep", "copies", "vec", "home", "cells"])
+        for _, _, _, homes, _, _ in _assigned(batches, held, kind):
+            cell, n = np.unique(homes, return_counts=True)
+            yield pa.record_batch([pa.array(cell), pa.array(n)], names=["cell", "n"])
 
     return run
 
 
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (cell, lo, hi, block) to (rep, links, root)."""
-    kept: pa.Table | None = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        kept = table if kept is None else pa.concat_tables([kept, table]).combine_chunks()
-        keys = np.stack([kept[k].to_numpy() for k in ("cell", "lo", "hi")], axis=1)
-        edges = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-        last = 0
-        for edge in edges.tolist():
-            yield from _block_links(kept.slice(last, edge - last))
-            last = edge
-        kept = kept.slice(last)
-    if kept is not None and len(kept):
-        yield from _block_links(kept)
-
-
-def _block_links(group: pa.Table) -> Iterator[pa.RecordBatch]:
-    cell, lo, hi = (group[k][0].as_py() for k in ("cell", "lo", "hi"))
-    block, home, rep, copies = (group[k].to_numpy() for k in ("block", "home", "rep", "copies"))
-    x = unit_rows(group["vec"].to_pylist())
-    cut = int(np.searchsorted(block, hi)) if lo < hi else 0
-    left, right = (x[:cut], x[cut:]) if lo < hi else (x, x)
-    if not len(left) or not len(right):
-        return
-    i, j = np.nonzero(left @ right.T >= THRESHOLD)
-    j = j + cut
-    i, j = (i, j) if lo < hi else (i[i < j], j[i < j])
-    # at home here, one at least; where both cells could find the pair, the smaller cell does
-    lists = group["cells"].combine_chunks()
-    width = int(np.asarray(lists.values).max()) + 1
-    member = np.sort(np.repeat(np.arange(len(rep)), np.diff(np.asarray(lists.offsets))) * width + np.asarray(lists.flatten()))
-
-    def elsewhere(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Whether a is a guest in the home of b, and that home is smaller than this cell."""
-        key = a * width + home[b]
-        at = np.minimum(np.searchsorted(member, key), len(member) - 1)
-        return (member[at] == key) & (home[b] < cell)
-
-    here_i, here_j = home[i] == cell, home[j] == cell
-    good = (here_i & here_j) | (here_i & ~elsewhere(i, j)) & ~here_j | (here_j & ~elsewhere(j, i)) & ~here_i
-    i, j = i[good], j[good]
-    if not len(i):
-        return
-    links = np.bincount(i, copies[j], len(rep)) + np.bincount(j, copies[i], len(rep))
-    root = rep.copy()
-    while True:
-        before = root.copy()
-        np.minimum.at(root, i, before[j])
-        np.minimum.at(root, j, root[i])
-        if (root == before).all():
-            break
-    linked = np.flatnonzero(links)
-    yield pa.record_batch([pa.array(rep[linked]), pa.array(links[linked].astype(np.int64)), pa.array(root[linked])], names=["rep", "links", "root"])
+_DEALT = "cell long, block long, guest boolean, rep binary, copies binary, home binary, ends binary, cells binary, vec binary"
+
+
+def _dealt(held, blocks, kind: str):
+    """What a slice sends to a block, as one row of those at home in it and one of those that pass by.
+
+    Those that pass by are the guests of the cell and those at home in its later blocks. Vectors at
+    home come with the smaller cells that they are guests in.
+    """
+    names = [field.split(" ")[0] for field in _DEALT.split(", ")]
+
+    def row(cell: int, block: int, guest: bool, rep, copies, home, ends, cells, vec) -> pa.RecordBatch:
+        parts = [pa.array([x.tobytes()], pa.binary()) for x in (rep, copies, home, ends, cells, vec)]
+        return pa.record_batch([pa.array([cell]), pa.array([block]), pa.array([guest]), *parts], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.empty(0, np.int32)
+        for rep, copies, data, homes, place, cell in _assigned(batches, held, kind):
+            smaller = cell < homes[place]
+            ends = np.concatenate(([0], np.cumsum(np.bincount(place[smaller], minlength=len(rep)))))
+            below = cell[smaller].astype(np.int32)
+            block = (c.mix(rep) % np.array([blocks.value.get(h, 1) for h in homes.tolist()], np.uint64)).astype(np.int64)
+            order = np.argsort(cell, kind="stable")
+            place, cell = place[order], cell[order]
+            out = []
+            for start, end in _runs(cell):
+                here, k = place[start:end], int(cell[start])
+                own = homes[here] == k
+                for b in range(blocks.value.get(k, 1)):
+                    mine = here[own & (block[here] == b)]
+                    if len(mine):
+                        lists = [below[ends[i]: ends[i + 1]] for i in mine.tolist()]
+                        out.append(row(k, b, False, rep[mine], copies[mine], none, np.cumsum([len(x) for x in lists], dtype=np.int32), np.concatenate(lists), data[mine]))
+                    others = here[~own | (block[here] > b)]
+                    if len(others):
+                        out.append(row(k, b, True, rep[others], copies[others], homes[others].astype(np.int32), none, none, data[others]))
+            for i in range(0, len(out), 64):
+                yield pa.Table.from_batches(out[i: i + 64]).combine_chunks().to_batches()[0]
+
+    return run
+
+
+def _runs(keys: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(start, end) of each run of equal keys."""
+    edges = np.flatnonzero(keys[1:] != keys[:-1]) + 1
+    yield from zip([0, *edges.tolist()], [*edges.tolist(), len(keys)], strict=True)
+
+
+class _Block:
+    """The vectors at home in a block, and what is found of them."""
+
+    def __init__(self, cell: int, size: int, kind: str) -> None:
+        self.cell, self.size, self.kind = cell, size, kind
+        self.parts: list[tuple] = []  # at home first; once these are known, what passes by and waits
+        self.waiting = 0
+        self.ready = False
+
+    def add(self, rep: bytes, copies: bytes, ends: bytes, cells: bytes, vec: bytes) -> None:
+        self.parts.append((rep, copies, np.diff(np.frombuffer(ends, np.int32), prepend=np.int32(0)), cells, vec))
+
+    def close(self) -> None:
+        """All at home are there: links among them."""
+        self.ready = True
+        if not self.parts:
+            self.rep = np.empty(0, np.int64)
+            return
+        reps, copies, counts, cells, vecs = zip(*self.parts, strict=True)
+        self.parts = []
+        rep, counts = np.frombuffer(b"".join(reps), np.int64), np.concatenate(counts)
+        order = np.argsort(rep)  # so that the smallest place is the smallest vector
+        owner = np.repeat(np.argsort(order), counts)
+        cells = np.frombuffer(b"".join(cells), np.int32)
+        self.width = int(max(cells.max(initial=0), self.cell)) + 1
+        self.below = np.sort(owner * self.width + cells)
+        self.rep, self.copies = rep[order], np.frombuffer(b"".join(copies), np.int64)[order]
+        self.data = np.frombuffer(b"".join(vecs), np.uint8).reshape(len(rep), self.size)[order]
+        self.x = unit_rows(self.data.tobytes(), len(rep), self.kind).astype(np.float32)
+        self.links, self.label = np.zeros(len(rep), np.int64), np.arange(len(rep))
+        step = max(1, PRODUCTS // len(rep))
+        for at in range(0, len(rep), step):
+            i, j = self._near(self.x[at: at + step], self.data[at: at + step], at)
+            i = i + at
+            i, j = i[i < j], j[i < j]
+            np.add.at(self.links, i, self.copies[j])
+            np.add.at(self.links, j, self.copies[i])
+            self._merge(i, j)
+
+    def _near(self, x: np.ndarray, data: np.ndarray, after: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (place in x, place at home) with a cosine of THRESHOLD or more; none with places up to ``after``."""
+        first = after + 1
+        cosines = x @ self.x[first:].T
+        slack = (x.shape[1] + 16) * 2.0 ** -23  # more than single precision can be off
+        i, j = np.nonzero(cosines >= np.float32(THRESHOLD - slack))
+        unsure = np.flatnonzero(cosines[i, j] < np.float32(THRESHOLD + slack))
+        j += first
+        keep = np.ones(len(i), bool)
+        step = max(1, PRODUCTS // x.shape[1])
+        for at in range(0, len(unsure), step):
+            part = unsure[at: at + step]
+            a, b = (unit_rows(rows.tobytes(), len(part), self.kind) for rows in (data[i[part]], self.data[j[part]]))
+            keep[part] = np.einsum("ij,ij->i", a, b) >= THRESHOLD
+        return i[keep], j[keep]
+
+    def _merge(self, a: np.ndarray, b: np.ndarray) -> None:
+        """The classes of places a and b at home become one, named by its smallest place."""
+        label = self.label
+        while True:
+            la, lb = label[a], label[b]
+            differ = la != lb
+            if not differ.any():
+                return
+            a, b, la, lb = a[differ], b[differ], la[differ], lb[differ]
+            np.minimum.at(label, np.maximum(la, lb), np.minimum(la, lb))
+            while (label[label] != label).any():
+                label[:] = label[label]
+
+    def passing(self, rep: bytes, copies: bytes, home: bytes, vec: bytes) -> Iterator[pa.RecordBatch]:
+        """Links of vectors from elsewhere with those at home; a few rows wait for more."""
+        if not len(self.rep):
+            return
+        self.parts.append((rep, copies, home, vec))
+        self.waiting += len(rep) // 8
+        if self.waiting * max(len(self.rep), self.size) >= PRODUCTS:
+            yield from self._pass()
+
+    def _pass(self) -> Iterator[pa.RecordBatch]:
+        rep, copies, home, vec = (b"".join(x) for x in zip(*self.parts, strict=True))
+        self.parts, self.waiting = [], 0
+        rep, copies, home = np.frombuffer(rep, np.int64), np.frombuffer(copies, np.int64), np.frombuffer(home, np.int32).astype(np.int64)
+        data = np.frombuffer(vec, np.uint8).reshape(len(rep), self.size)
+        x = unit_rows(vec, len(rep), self.kind).astype(np.float32)
+        step = max(1, PRODUCTS // len(self.rep))
+        for at in range(0, len(rep), step):
+            i, j = self._near(x[at: at + step], data[at: at + step])
+            i = i + at
+            # a pair that both cells could find is found in the smaller
+            elsewhere = home[i] < self.cell
+            if len(self.below):
+                key = j * self.width + home[i]
+                found = np.minimum(np.searchsorted(self.below, key), len(self.below) - 1)
+                elsewhere &= (self.below[found] == key)
+            else:
+                elsewhere[:] = False
+            i, j = i[~elsewhere], j[~elsewhere]
+            if not len(i):
+                continue
+            np.add.at(self.links, j, copies[i])
+            linked, first, inverse = np.unique(i, return_index=True, return_inverse=True)
+            self._merge(j[first][inverse], j)
+            links = np.zeros(len(linked), np.int64)
+            np.add.at(links, inverse, self.copies[j])
+            yield self._rows(rep[linked], links, j[first])
+
+    def _rows(self, rep: np.ndarray, links: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(rep), pa.array(links), pa.array(self.rep[self.label[place]])], names=["rep", "links", "root"])
+
+    def done(self) -> Iterator[pa.RecordBatch]:
+        if not self.ready:
+            self.close()
+        if self.parts:
+            yield from self._pass()
+        if len(self.rep):
+            linked = np.flatnonzero(self.links)
+            if len(linked):
+                yield self._rows(self.rep[linked], self.links[linked], linked)
+
+
+def _compared(kind: str):
+    """Rows sorted by (cell, block, guest) to (rep, links, root)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                cell, block, guest, rep, copies, home, ends, cells, vec = (col[i].as_py() for col in batch.columns)
+                if key != (cell, block):
+                    if held:
+                        yield from held.done()
+                    key, held = (cell, block), _Block(cell, len(vec) * 8 // len(rep), kind)
+                if not guest:
+                    held.add(rep, copies, ends, cells, vec)
+                    continue
+                if not held.ready:
+                    held.close()
+                yield from held.passing(rep, copies, home, vec)
+        if held:
+            yield from held.done()
+
+    return run
 
 
 def link_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -154,34 +301,36 @@ def link_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     other; further columns are ignored. Equal vectors are compared once, with their number.
     """
     spark = vectors.sparkSession
-    rows = c.with_row(vectors.select(F.col(id_col).alias("_id"), F.col(vector_col).alias("embedding")))
-    clean = c.stored(rows.select("_row", "embedding").mapInArrow(_clean, "_row long, vec binary"), "vector-clean")
+    rows = c.with_row(vectors.select(F.col(id_col).alias("_id"), F.col(vector_col).alias("embedding"))).select("_row", "_id", "embedding")
+    kind = "f4" if isinstance(rows.schema["embedding"].dataType.elementType, T.FloatType) else "f8"
+    clean = rows.mapInArrow(_clean(kind), T.StructType([*rows.schema.fields[:2], T.StructField("vec", T.BinaryType())]))
     distinct = c.stored(clean.where(F.col("vec").isNotNull()).groupBy("vec").agg(F.min("_row").alias("rep"), F.count("*").alias("copies")), "vector-distinct")
 
-    centres, first = {}, 0
-    sizes = distinct.groupBy(F.octet_length("vec").alias("size")).count().orderBy("size").collect()  # one row per vector length
-    for size, n in sizes:
+    centres, sizes = {}, {}  # by vector length; by cell
+    counts = distinct.groupBy(F.octet_length("vec").alias("size")).count().orderBy("size").collect()  # one row per vector length
+    for size, n in counts:
         own = distinct.where(F.octet_length("vec") == size)
         sample = own.orderBy(F.xxhash64("rep")).limit(max(1, min(SAMPLE, SAMPLE_BYTES // size))).select("vec").collect()
-        cells = max(1, min(MAX_CELLS, int(n ** 0.5), len(sample) // 8))
-        centres[size] = first, fit_centres(unit_rows([bytes(r["vec"]) for r in sample]), cells)
-        first += cells
+        cells = max(1, min(MAX_CELLS, int(n ** 0.5), len(sample) // 8, max(FEW_CELLS, n // AT_HOME)))
+        centres[size] = len(sizes), fit_centres(unit_rows(b"".join(bytes(r["vec"]) for r in sample), len(sample), kind), cells)
+        sizes.update(dict.fromkeys(range(len(sizes), len(sizes) + cells), size))
     held = spark.sparkContext.broadcast(centres)
-    assigned = c.stored(distinct.mapInArrow(_assigned(held), "rep long, copies long, vec binary, home long, cells array<long>"), "vector-cells")
-    placed = assigned.withColumn("cell", F.explode("cells"))
-    blocks = placed.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
-    dealt = (
-        placed.join(blocks, "cell").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .select("cell", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rep", "copies", "home", "cells", "vec")
-        .repartition("cell", "lo", "hi").sortWithinPartitions("cell", "lo", "hi", "block")
-    )
-    found = c.stored(dealt.mapInArrow(_compared, "rep long, links long, root long"), "vector-links")
+    at_home = distinct.mapInArrow(_counted(held, kind), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()  # one row per cell
+    blocks = spark.sparkContext.broadcast({r["cell"]: -(-r["n"] // max(1, min(BLOCK, BLOCK_BYTES // sizes[r["cell"]]))) for r in at_home})
+    dealt = distinct.mapInArrow(_dealt(held, blocks, kind), _DEALT).repartition("cell", "block").sortWithinPartitions("cell", "block", "guest")
+    found = c.stored(dealt.mapInArrow(_compared(kind), "rep long, links long, root long"), "vector-links")
     comps = components(found.select("rep", "root"), "rep", "root", "vector")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    each = distinct.join(links, "rep", "left").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "vec", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("comp"))
-    own = clean.join(each, "vec", "left").join(rows.select("_row", "_id"), "_row").select(
+
+    # Rows find their vector by a hash of it that no two vectors share.
+    seed = 0
+    while distinct.agg(F.countDistinct(F.xxhash64(F.lit(seed), "vec"))).first()[0] < sum(n for _, n in counts):
+        seed += 1
+    key = F.xxhash64(F.lit(seed), "vec")
+    each = distinct.select(key.alias("key"), F.lit(True).alias("valid"), "rep", "copies").join(links, "rep", "left").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "key", "valid", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("comp"))
+    valid = F.col("vec").isNotNull()
+    own = clean.select("_row", "_id", F.when(valid, key).otherwise(F.col("_row")).alias("key"), valid.alias("valid")).join(each, ["key", "valid"], "left").select(
         "_row", "_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("comp", "_row").alias("comp"))
     own = c.stored(own, "vector-own")
     least = own.groupBy("comp").agg(F.min("_id").alias("component_id"))

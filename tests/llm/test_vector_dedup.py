@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from starloom.llm import vector_dedup as V
 
@@ -61,3 +62,41 @@ def test_repeated_and_null_ids_and_empty_table(docs):
     assert sorted(((r["vec_id"] or 0, r["n_links"], r["component_id"], r["kept"]) for r in found), key=repr) == sorted(
         [(0, 2, 4, False), (4, 2, 4, True), (4, 2, 4, True), (0, 0, None, True)], key=repr)
     assert V.link_vectors(docs([], "vec_id long, embedding array<float>")).collect() == []
+
+
+@pytest.mark.parametrize("block", [1024, 60])
+def test_a_vector_travels_once_per_cell_and_block(block):
+    """However many pass by a cell: it was once per 1024 of all that meet there."""
+    class Held:
+        def __init__(self, value):
+            self.value = value
+
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(3000, 8)).astype(np.float32)
+    centres = V.fit_centres(V.unit_rows(x.tobytes(), len(x), "f4"), 4)
+    unit = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1)[:, None]
+    near = unit @ centres.T
+    home, met = near.argmax(axis=1), (near >= near.max(axis=1, keepdims=True) - V.MARGIN)
+    blocks = {k: -(-int((home == k).sum()) // block) for k in range(4)}
+    batch = pa.record_batch([pa.array(np.arange(3000)), pa.array(np.ones(3000, np.int64)), pa.array([v.tobytes() for v in x], pa.binary())], names=["rep", "copies", "vec"])
+    sent = [r for out in V._dealt(Held({32: (0, centres)}), Held(blocks), "f4")(iter([batch])) for r in out.to_pylist()]
+    at_home = sorted((r["cell"], i) for r in sent if not r["guest"] for i in np.frombuffer(r["rep"], np.int64).tolist())
+    assert at_home == sorted(zip(home.tolist(), range(3000)))
+    passing = sum(len(r["rep"]) // 8 for r in sent if r["guest"])
+    guests = sum(blocks[k] * int((met[:, k] & (home != k)).sum()) for k in range(4))
+    assert guests <= passing <= guests + sum(blocks[k] * int((home == k).sum()) for k in range(4))
+    assert block < 1024 or passing == guests
+    assert all(len(r["vec"]) == 4 * len(r["rep"]) for r in sent)  # 8 components of the given precision, 32 bytes
+
+
+def test_cosines_next_to_the_threshold_are_taken_in_double_precision(docs):
+    rows, expected = [], {}
+    for k, off in enumerate([1e-3, 1e-6, 1e-9, 1e-12, -1e-12, -1e-9, -1e-6, -1e-3]):
+        cosine, base = 0.95 + off, np.zeros(32)
+        base[2 * k] = 3.0
+        other = np.zeros(32)
+        other[2 * k], other[2 * k + 1] = cosine, np.sqrt(1 - cosine * cosine)
+        rows += [(2 * k, base.tolist()), (2 * k + 1, other.tolist())]
+        expected |= dict.fromkeys((2 * k, 2 * k + 1), int(off > 0))
+    found = V.link_vectors(docs(rows, "vec_id long, embedding array<double>")).collect()
+    assert {r["vec_id"]: r["n_links"] for r in found} == expected
