@@ -10,9 +10,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.session import materialise
+from starloom.session import materialise, shuffles_dropped
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 CHUNK_BYTES = 1 << 20  # numpy works on this much text at a time, or on one longer document
 
 
@@ -67,13 +66,8 @@ def with_row(df: DataFrame, name: str = "_row") -> DataFrame:
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Writes to the shared folder and reads back; the shuffle files behind it go at once."""
-    spark = df.sparkSession
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
-    try:
+    with shuffles_dropped(df.sparkSession):
         return materialise(df, label)
-    finally:
-        spark.conf.set(CLEANUP, before)
 
 
 def texts_of(column: pa.Array) -> list[bytes]:

@@ -61,12 +61,12 @@ def artist_song_by_user(log: DataFrame, order: Sequence[str]) -> DataFrame:
     )
 
 
-def users_by_song(log: DataFrame) -> DataFrame:
-    """Who heard a song; the whole row is the key."""
-    rows = drop_blank(log, "artist")
-    return rows.select(
+def users_by_song(log: DataFrame, repeated: bool = False) -> DataFrame:
+    """Who heard a song; the whole row is the key. ``repeated`` leaves the repeats to the caller."""
+    rows = drop_blank(log, "artist").select(
         F.col("song").alias("song_title"), full_name("firstName", "lastName").alias("user")
-    ).distinct()
+    )
+    return rows if repeated else rows.distinct()
 
 
 def item_of_session(table: DataFrame, session: int, item: int) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from starloom import schemas
 from starloom.operators import drop_blank, non_empty, threshold_checks
 from starloom.plans import layers, questions, star
+from starloom.session import shuffles_dropped
 from starloom.sinks import cluster, load, reset_tables, write_csv, write_parquet
 from starloom.sources import (
     label_mappings,
@@ -147,7 +148,7 @@ def run_lake(
 
 
 def run_questions(
-    spark: SparkSession, log: DataFrame, root: str, order: Sequence[str], fail: bool = True
+    spark: SparkSession, log: DataFrame, root: str, order: Sequence[str], fail: bool = True, slices: int = 4
 ) -> DataFrame:
     """Flat quoted CSV of the log as an export, then one stored table per question.
 
@@ -155,26 +156,33 @@ def run_questions(
     columns of ``order`` stand in the flat file, which is compressed, beside the kept fields. The
     tables are built from the same rows stored as parquet, which keeps null and empty text apart
     and has a flag for the last row of each key, found for all tables before the rows are stored.
+
+    Disk is held down at the price of time: the rows are marked in ``slices`` of all sessions, for each
+    of which ``log`` is evaluated anew, one table is written at a time, the shuffle files of each step go
+    when it ends, and the flat file, which needs none, comes last.
     """
     kept = drop_blank(log, "artist").select(
         *questions.KEPT_NAMES, *[c for c in order if c not in questions.KEPT_NAMES]
     )
-    marked = questions.mark_last(kept, order)
-    write_parquet(marked, f"{root}/log")
-    flat = read_parquet(spark, f"{root}/log", marked.schema)
-    write_csv(flat.drop(*questions.MARKS), f"{root}/flat", quote_all=True, compression="gzip")
-    built = {
-        "songs_by_session": questions.songs_by_session(flat, order),
-        "artist_song_by_user": questions.artist_song_by_user(flat, order),
-        "users_by_song": questions.users_by_song(flat),
-    }
-
-    def store(name: str) -> DataFrame:
-        write_parquet(cluster(built[name], schemas.PRIMARY_KEYS[name]), f"{root}/{name}")
-        return read_parquet(spark, f"{root}/{name}", built[name].schema)
-
-    done = _together({name: partial(store, name) for name in built})
-    return _report(done, non_empty(done, fail))
+    with shuffles_dropped(spark):
+        for i in range(slices):
+            part = kept.filter(F.pmod(F.xxhash64("sessionId"), F.lit(slices)) == i) if slices > 1 else kept
+            marked = questions.mark_last(part, order)
+            write_parquet(marked, f"{root}/log", mode="append" if i else "overwrite", compression="zstd")
+        flat = read_parquet(spark, f"{root}/log", marked.schema)
+        built = {
+            "songs_by_session": questions.songs_by_session(flat, order),
+            "artist_song_by_user": questions.artist_song_by_user(flat, order),
+            "users_by_song": questions.users_by_song(flat, repeated=True),
+        }
+        done = {}
+        for name, df in built.items():
+            table = cluster(df, schemas.PRIMARY_KEYS[name], unique=name == "users_by_song")
+            write_parquet(table, f"{root}/{name}", compression="zstd")
+            done[name] = read_parquet(spark, f"{root}/{name}", df.schema)
+        write_csv(flat.drop(*questions.MARKS), f"{root}/flat", quote_all=True, compression="gzip")
+        passed = non_empty(done, fail)
+    return _report(done, passed)
 
 
 def run_layers(

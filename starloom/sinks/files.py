@@ -15,18 +15,22 @@ def write_parquet(
     partition_by: Sequence[str] = (),
     mode: str = "overwrite",
     max_records_per_file: int = 0,
+    compression: str | None = None,
 ) -> None:
     """Parquet, optionally in one folder per partition value.
 
     Rows are first gathered by partition value so that each value ends up in few
     files. The rebalance splits a value that holds much of the table over several
     tasks and merges small ones; a plain repartition would put a hot value on one
-    task. A null value goes to the default partition folder.
+    task. A null value goes to the default partition folder. ``compression`` is the session's
+    unless it is named.
     """
     writer = df
     if partition_by:
         writer = df.hint("rebalance", *partition_by)
     out = writer.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
+    if compression:
+        out = out.option("compression", compression)
     if partition_by:
         out = out.partitionBy(*partition_by)
     out.parquet(path)

@@ -10,15 +10,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
-def cluster(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+def cluster(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (), unique: bool = False) -> DataFrame:
     """Range-partition by key, then order inside each partition.
 
     The clustering columns take part in the range bounds, so a key with very many
     rows spans several partitions instead of one. Row groups then have narrow
-    key ranges, which point and range reads skip by.
+    key ranges, which point and range reads skip by. ``unique`` keeps one row of those that are
+    equal in all columns; where these are the clustering columns, that needs no shuffle of its own.
     """
     columns = [*keys, *order]
-    return df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    spread = df.repartitionByRange(*columns)
+    return (spread.distinct() if unique else spread).sortWithinPartitions(*columns)
 
 
 def write_bucketed(

@@ -4,7 +4,8 @@ import pytest
 
 from starloom import schemas
 from starloom.plans import questions, runs
-from starloom.session import scratch_path
+from starloom.session import SHUFFLE_CLEANUP, scratch_path
+from starloom.sinks import cluster
 from starloom.sources import read_csv, select_positions
 
 # Fixed value: the header of the event files.
@@ -123,3 +124,38 @@ def test_run_stores_the_flat_file_compressed_and_whole(spark, log, rows):
     assert rows(back) == rows(flat) and flat.columns == [*questions.KEPT_NAMES, "ts"]
     assert all(f.endswith(".csv.gz") for f in back.inputFiles())
     assert stored.columns[-2:] == list(questions.MARKS)
+
+
+def test_repeats_of_the_third_table_go_in_the_shuffle_that_clusters_it(spark, rows):
+    log = spark.createDataFrame(
+        [("A", s, "F", n) for s, n in [("b", "x"), ("a", "y"), ("b", "x"), ("a", "x"), (None, "x"), (None, "x"), ("", "x")]] + [("", "c", "F", "z")],
+        "artist string, song string, firstName string, lastName string",
+    )
+    table = cluster(questions.users_by_song(log, repeated=True), schemas.PRIMARY_KEYS["users_by_song"], unique=True)
+    assert table._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert rows(table) == rows(questions.users_by_song(log)) and table.count() == 5
+    found = [tuple(r) for r in table.coalesce(1).collect()]
+    assert found == sorted(found, key=lambda r: (r[0] is not None, r))
+
+
+def test_run_in_slices_leaves_the_same_tables_and_no_shuffle_files(spark, tmp_path):
+    log = spark.createDataFrame(
+        [(f"artist {i % 7}", f"first {i % 5}", "F", i % 6, f"last {i % 3}", float(i), "free", "x", None if i % 50 == 0 else i % 40, f"song {i % 11}", i % 9, i) for i in range(600)],
+        "artist string, firstName string, gender string, itemInSession int, lastName string, length double, level string, "
+        "location string, sessionId long, song string, userId long, ts long",
+    )
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled() -> set[str]:
+        return {name for name in (files.getAllFiles().apply(i).getName() for i in range(files.getAllFiles().size())) if name.startswith("shuffle_")}
+
+    stored = {}
+    for slices in (1, 4):
+        before = shuffled()
+        runs.run_questions(spark, log, f"{tmp_path}/{slices}", ["ts"], slices=slices)
+        assert not {n for n in shuffled() - before if n.endswith(".data")}
+        parts = {name: spark.read.parquet(f"{tmp_path}/{slices}/{name}") for name in ("log", *schemas.QUESTION_TABLES)}
+        parts["flat"] = read_csv(spark, f"{tmp_path}/{slices}/flat", parts["log"].drop(*questions.MARKS).schema)
+        stored[slices] = {name: sorted(map(repr, df.collect())) for name, df in parts.items()}
+    assert stored[1] == stored[4] and len(stored[4]["log"]) == len(stored[4]["flat"]) == 600
+    assert spark.conf.get(SHUFFLE_CLEANUP, "false") == "false"
