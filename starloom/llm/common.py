@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.session import materialise, shuffles_dropped
+from starloom.session import delete_path, materialise, shuffles_dropped
 
 CHUNK_BYTES = 1 << 20  # numpy works on this much text at a time, or on one longer document
 
@@ -64,10 +64,17 @@ def with_row(df: DataFrame, name: str = "_row") -> DataFrame:
     return df.withColumn(name, high(file if by_name else path, seed).bitwiseOR(index))
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Writes to the shared folder and reads back; the shuffle files behind it go at once."""
-    with shuffles_dropped(df.sparkSession):
-        return materialise(df, label)
+def stored(df: DataFrame, label: str, instead: DataFrame | None = None) -> DataFrame:
+    """Writes to the shared folder and reads back; the shuffle files behind it go at once.
+
+    ``instead`` is a table stored before that nothing reads any more; it is deleted.
+    """
+    spark = df.sparkSession
+    with shuffles_dropped(spark):
+        table = materialise(df, label)
+    for folder in {f.rpartition("/")[0] for f in instead.inputFiles()} if instead is not None else ():
+        delete_path(spark, folder)
+    return table
 
 
 def texts_of(column: pa.Array) -> list[bytes]:

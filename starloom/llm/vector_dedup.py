@@ -4,7 +4,8 @@ Centres are fitted on a bounded sample. Every vector is at home in the cell of i
 and a guest in each cell whose centre is nearly as near; it is compared with those at home there.
 Cells are large, so that a vector is a guest in few, and what travels is packed: one row has all
 vectors that a batch sends to a cell. A cell with very many at home is cut into blocks. A task holds
-one block and lets the others pass by. It multiplies in single precision, decides what is near the
+one block and lets the others pass by. Blocks are taken in turns, so that only what one turn sends
+lies on disk. A task multiplies in single precision, decides what is near the
 threshold in double precision and sends, for each vector, how many it is linked with and one edge
 towards the smallest vector of the block that it reaches: never the pairs.
 """
@@ -12,6 +13,7 @@ towards the smallest vector of the block that it reaches: never the pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,7 @@ AT_HOME = 4096
 MARGIN = 0.12  # a centre this much less similar than the nearest still takes the vector as a guest
 BLOCK = 16_384  # vectors at home that a task holds, at most
 BLOCK_BYTES = 1 << 25
+TURN_BYTES = 1 << 28  # what a turn sends at most, or twice all vectors where that is more
 PRODUCTS = 1 << 22  # cosines that a task has at once
 ITERATIONS = 8
 
@@ -73,38 +76,52 @@ def fit_centres(sample: np.ndarray, cells: int) -> np.ndarray:
     return centres
 
 
-def _assigned(batches: Iterator[pa.RecordBatch], held, kind: str) -> Iterator[tuple]:
-    """Slices of (rep, copies, vec) of one vector length: reps, copies, vectors, homes, and (place, cell) where the slice meets cells."""
-    for batch in batches:
-        lengths = pc.binary_length(batch.column("vec")).to_numpy()
-        for size in np.unique(lengths).tolist():
-            own = batch.filter(pa.array(lengths == size))
-            first, centres = held.value[size]
-            step = max(1, min(4096, PRODUCTS // max(len(centres), size)))
-            for at in range(0, own.num_rows, step):
-                part = own.slice(at, step)
-                data = np.frombuffer(b"".join(part.column("vec").to_pylist()), np.uint8).reshape(part.num_rows, size)
-                near = unit_rows(data.tobytes(), part.num_rows, kind) @ centres.T
-                best = near.max(axis=1, keepdims=True)
-                place, cell = np.nonzero(near >= best - MARGIN)
-                yield part.column("rep").to_numpy(), part.column("copies").to_numpy(), data, first + near.argmax(axis=1), place, first + cell
-
-
-def _counted(held, kind: str):
-    """How many are at home in each cell."""
+def _assigned(held, kind: str):
+    """(rep, copies, vec) with the cell that each is at home in and all that it meets others in."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, _, homes, _, _ in _assigned(batches, held, kind):
-            cell, n = np.unique(homes, return_counts=True)
-            yield pa.record_batch([pa.array(cell), pa.array(n)], names=["cell", "n"])
+        for batch in batches:
+            for size, own in _by_size(batch):
+                first, centres = held.value[size]
+                step = max(1, min(4096, PRODUCTS // max(len(centres), size)))
+                for at in range(0, own.num_rows, step):
+                    part = own.slice(at, step)
+                    near = unit_rows(b"".join(part.column("vec").to_pylist()), part.num_rows, kind) @ centres.T
+                    met = near >= near.max(axis=1, keepdims=True) - MARGIN
+                    ends = np.concatenate(([0], np.cumsum(met.sum(axis=1)))).astype(np.int32)
+                    cells = pa.ListArray.from_arrays(ends, (first + np.nonzero(met)[1]).astype(np.int32))
+                    yield pa.record_batch([part.column("rep"), part.column("copies"), part.column("vec"), pa.array((first + near.argmax(axis=1)).astype(np.int32)), cells],
+                                          names=["rep", "copies", "vec", "home", "cells"])
 
     return run
 
 
+def _by_size(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
+    lengths = pc.binary_length(batch.column("vec")).to_numpy()
+    for size in np.unique(lengths).tolist():
+        yield size, batch.filter(pa.array(lengths == size))
+
+
+def _turns(met: dict[int, int], at_home: dict[int, int], sizes: dict[int, int]) -> tuple[dict[int, list[int]], int]:
+    """The turn of each block of each cell, and how many turns there are; cells with none at home have no block."""
+    loads = []
+    for cell, n in at_home.items():
+        blocks = -(-n // max(1, min(BLOCK, BLOCK_BYTES // sizes[cell])))
+        loads += [(met[cell] * (sizes[cell] + 24), cell, block) for block in range(blocks)]
+    all_vectors = sum(n * sizes[cell] for cell, n in at_home.items())
+    turns = max(1, -(-sum(load for load, _, _ in loads) // max(TURN_BYTES, 2 * all_vectors)))
+    sent, of = [0] * turns, {}
+    for load, cell, block in sorted(loads, reverse=True):
+        turn = min(range(turns), key=sent.__getitem__)
+        sent[turn] += load
+        of.setdefault(cell, {})[block] = turn
+    return {cell: [turn for _, turn in sorted(blocks.items())] for cell, blocks in of.items()}, turns
+
+
 _DEALT = "cell long, block long, guest boolean, rep binary, copies binary, home binary, ends binary, cells binary, vec binary"
 
 
-def _dealt(held, blocks, kind: str):
-    """What a slice sends to a block, as one row of those at home in it and one of those that pass by.
+def _dealt(turns, turn: int):
+    """What a batch sends to a block of this turn, as one row of those at home in it and one of those that pass by.
 
     Those that pass by are the guests of the cell and those at home in its later blocks. Vectors at
     home come with the smaller cells that they are guests in.
@@ -115,29 +132,39 @@ def _dealt(held, blocks, kind: str):
         parts = [pa.array([x.tobytes()], pa.binary()) for x in (rep, copies, home, ends, cells, vec)]
         return pa.record_batch([pa.array([cell]), pa.array([block]), pa.array([guest]), *parts], names=names)
 
+    def sent(part: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+        rep, copies, home = (part.column(k).to_numpy() for k in ("rep", "copies", "home"))
+        data = np.frombuffer(b"".join(part.column("vec").to_pylist()), np.uint8).reshape(len(rep), size)
+        lists, none = part.column("cells"), np.empty(0, np.int32)
+        place, cell = np.repeat(np.arange(len(rep)), pc.list_value_length(lists).to_numpy()), lists.flatten().to_numpy()
+        smaller = cell < home[place]
+        ends = np.concatenate(([0], np.cumsum(np.bincount(place[smaller], minlength=len(rep)))))
+        below = cell[smaller]
+        block = (c.mix(rep) % np.array([len(turns.value[h]) for h in home.tolist()], np.uint64)).astype(np.int64)
+        order = np.argsort(cell, kind="stable")
+        place, cell = place[order], cell[order]
+        for start, end in _runs(cell):
+            here, k = place[start:end], int(cell[start])
+            own = home[here] == k
+            for b, taken in enumerate(turns.value.get(k, ())):
+                if taken != turn:
+                    continue
+                mine = here[own & (block[here] == b)]
+                if len(mine):
+                    cells = [below[ends[i]: ends[i + 1]] for i in mine.tolist()]
+                    yield row(k, b, False, rep[mine], copies[mine], none, np.cumsum([len(x) for x in cells], dtype=np.int32), np.concatenate(cells), data[mine])
+                others = here[~own | (block[here] > b)]
+                if len(others):
+                    yield row(k, b, True, rep[others], copies[others], home[others], none, none, data[others])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        none = np.empty(0, np.int32)
-        for rep, copies, data, homes, place, cell in _assigned(batches, held, kind):
-            smaller = cell < homes[place]
-            ends = np.concatenate(([0], np.cumsum(np.bincount(place[smaller], minlength=len(rep)))))
-            below = cell[smaller].astype(np.int32)
-            block = (c.mix(rep) % np.array([blocks.value.get(h, 1) for h in homes.tolist()], np.uint64)).astype(np.int64)
-            order = np.argsort(cell, kind="stable")
-            place, cell = place[order], cell[order]
-            out = []
-            for start, end in _runs(cell):
-                here, k = place[start:end], int(cell[start])
-                own = homes[here] == k
-                for b in range(blocks.value.get(k, 1)):
-                    mine = here[own & (block[here] == b)]
-                    if len(mine):
-                        lists = [below[ends[i]: ends[i + 1]] for i in mine.tolist()]
-                        out.append(row(k, b, False, rep[mine], copies[mine], none, np.cumsum([len(x) for x in lists], dtype=np.int32), np.concatenate(lists), data[mine]))
-                    others = here[~own | (block[here] > b)]
-                    if len(others):
-                        out.append(row(k, b, True, rep[others], copies[others], homes[others].astype(np.int32), none, none, data[others]))
-            for i in range(0, len(out), 64):
-                yield pa.Table.from_batches(out[i: i + 64]).combine_chunks().to_batches()[0]
+        for batch in batches:
+            for size, own in _by_size(batch):
+                step = max(1, min(4096, PRODUCTS // size))
+                for at in range(0, own.num_rows, step):
+                    out = list(sent(own.slice(at, step), size))
+                    for i in range(0, len(out), 64):
+                        yield pa.Table.from_batches(out[i: i + 64]).combine_chunks().to_batches()[0]
 
     return run
 
@@ -315,19 +342,26 @@ def link_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         centres[size] = len(sizes), fit_centres(unit_rows(b"".join(bytes(r["vec"]) for r in sample), len(sample), kind), cells)
         sizes.update(dict.fromkeys(range(len(sizes), len(sizes) + cells), size))
     held = spark.sparkContext.broadcast(centres)
-    at_home = distinct.mapInArrow(_counted(held, kind), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()  # one row per cell
-    blocks = spark.sparkContext.broadcast({r["cell"]: -(-r["n"] // max(1, min(BLOCK, BLOCK_BYTES // sizes[r["cell"]]))) for r in at_home})
-    dealt = distinct.mapInArrow(_dealt(held, blocks, kind), _DEALT).repartition("cell", "block").sortWithinPartitions("cell", "block", "guest")
-    found = c.stored(dealt.mapInArrow(_compared(kind), "rep long, links long, root long"), "vector-links")
+    assigned = c.stored(distinct.mapInArrow(_assigned(held, kind), "rep long, copies long, vec binary, home int, cells array<int>"), "vector-cells", instead=distinct)
+    at_home = dict(map(tuple, assigned.groupBy("home").count().collect()))  # one row per cell
+    met = dict(map(tuple, assigned.select(F.explode("cells").alias("cell")).groupBy("cell").count().collect()))
+    turn_of, turns = _turns(met, at_home, sizes)
+    turn_of = spark.sparkContext.broadcast(turn_of)
+
+    def compared(turn: int) -> DataFrame:
+        dealt = assigned.mapInArrow(_dealt(turn_of, turn), _DEALT).repartition("cell", "block").sortWithinPartitions("cell", "block", "guest")
+        return c.stored(dealt.mapInArrow(_compared(kind), "rep long, links long, root long"), "vector-links")
+
+    found = reduce(DataFrame.unionByName, [compared(turn) for turn in range(turns)])
     comps = components(found.select("rep", "root"), "rep", "root", "vector")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
 
     # Rows find their vector by a hash of it that no two vectors share.
     seed = 0
-    while distinct.agg(F.countDistinct(F.xxhash64(F.lit(seed), "vec"))).first()[0] < sum(n for _, n in counts):
+    while assigned.agg(F.countDistinct(F.xxhash64(F.lit(seed), "vec"))).first()[0] < sum(n for _, n in counts):
         seed += 1
     key = F.xxhash64(F.lit(seed), "vec")
-    each = distinct.select(key.alias("key"), F.lit(True).alias("valid"), "rep", "copies").join(links, "rep", "left").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(
+    each = assigned.select(key.alias("key"), F.lit(True).alias("valid"), "rep", "copies").join(links, "rep", "left").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(
         "key", "valid", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("comp"))
     valid = F.col("vec").isNotNull()
     own = clean.select("_row", "_id", F.when(valid, key).otherwise(F.col("_row")).alias("key"), valid.alias("valid")).join(each, ["key", "valid"], "left").select(

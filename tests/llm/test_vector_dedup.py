@@ -78,8 +78,10 @@ def test_a_vector_travels_once_per_cell_and_block(block):
     near = unit @ centres.T
     home, met = near.argmax(axis=1), (near >= near.max(axis=1, keepdims=True) - V.MARGIN)
     blocks = {k: -(-int((home == k).sum()) // block) for k in range(4)}
+    turns = Held({k: [b % 2 for b in range(n)] for k, n in blocks.items()})
     batch = pa.record_batch([pa.array(np.arange(3000)), pa.array(np.ones(3000, np.int64)), pa.array([v.tobytes() for v in x], pa.binary())], names=["rep", "copies", "vec"])
-    sent = [r for out in V._dealt(Held({32: (0, centres)}), Held(blocks), "f4")(iter([batch])) for r in out.to_pylist()]
+    assigned = list(V._assigned(Held({32: (0, centres)}), "f4")(iter([batch])))
+    sent = [r for turn in (0, 1) for out in V._dealt(turns, turn)(iter(assigned)) for r in out.to_pylist()]
     at_home = sorted((r["cell"], i) for r in sent if not r["guest"] for i in np.frombuffer(r["rep"], np.int64).tolist())
     assert at_home == sorted(zip(home.tolist(), range(3000)))
     passing = sum(len(r["rep"]) // 8 for r in sent if r["guest"])
@@ -100,3 +102,28 @@ def test_cosines_next_to_the_threshold_are_taken_in_double_precision(docs):
         expected |= dict.fromkeys((2 * k, 2 * k + 1), int(off > 0))
     found = V.link_vectors(docs(rows, "vec_id long, embedding array<double>")).collect()
     assert {r["vec_id"]: r["n_links"] for r in found} == expected
+
+
+def test_turns_bound_what_is_sent_at_once_and_leave_the_rows_alone(docs, monkeypatch):
+    vectors = groups(40, seed=4) + [None, [1.0, 2.0], [2.0, 4.0]]
+    rows = [(i, v) for i, v in enumerate(vectors)]
+    monkeypatch.setattr(V, "TURN_BYTES", 1 << 10)
+    monkeypatch.setattr(V, "BLOCK", 8)
+    made = []
+
+    def turns(met, at_home, sizes, real=V._turns):
+        of, n = real(met, at_home, sizes)
+        loads = [0] * n
+        for cell, taken in of.items():
+            assert len(taken) == -(-at_home[cell] // 8)
+            for turn in taken:
+                loads[turn] += met[cell] * (sizes[cell] + 24)
+        most = max(1 << 10, 2 * sum(n * sizes[cell] for cell, n in at_home.items()))
+        assert max(loads) <= most + max(met[cell] * (sizes[cell] + 24) for cell in of)
+        made.append(n)
+        return of, n
+
+    monkeypatch.setattr(V, "_turns", turns)
+    found = V.link_vectors(docs(rows, "vec_id long, embedding array<float>")).collect()
+    assert made[0] > 1
+    assert sorted(((r["vec_id"], r["n_links"], r["component_id"]) for r in found), key=repr) == brute(rows)
