@@ -64,17 +64,16 @@ def with_row(df: DataFrame, name: str = "_row") -> DataFrame:
     return df.withColumn(name, high(file if by_name else path, seed).bitwiseOR(index))
 
 
-def stored(df: DataFrame, label: str, instead: DataFrame | None = None) -> DataFrame:
-    """Writes to the shared folder and reads back; the shuffle files behind it go at once.
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Writes to the shared folder and reads back; the shuffle files behind it go at once."""
+    with shuffles_dropped(df.sparkSession):
+        return materialise(df, label)
 
-    ``instead`` is a table stored before that nothing reads any more; it is deleted.
-    """
-    spark = df.sparkSession
-    with shuffles_dropped(spark):
-        table = materialise(df, label)
-    for folder in {f.rpartition("/")[0] for f in instead.inputFiles()} if instead is not None else ():
-        delete_path(spark, folder)
-    return table
+
+def discard(table: DataFrame) -> None:
+    """Deletes a table of ``stored`` that nothing reads any more."""
+    for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
+        delete_path(table.sparkSession, folder)
 
 
 def texts_of(column: pa.Array) -> list[bytes]:

@@ -342,7 +342,8 @@ def link_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         centres[size] = len(sizes), fit_centres(unit_rows(b"".join(bytes(r["vec"]) for r in sample), len(sample), kind), cells)
         sizes.update(dict.fromkeys(range(len(sizes), len(sizes) + cells), size))
     held = spark.sparkContext.broadcast(centres)
-    assigned = c.stored(distinct.mapInArrow(_assigned(held, kind), "rep long, copies long, vec binary, home int, cells array<int>"), "vector-cells", instead=distinct)
+    assigned = c.stored(distinct.mapInArrow(_assigned(held, kind), "rep long, copies long, vec binary, home int, cells array<int>"), "vector-cells")
+    c.discard(distinct)
     at_home = dict(map(tuple, assigned.groupBy("home").count().collect()))  # one row per cell
     met = dict(map(tuple, assigned.select(F.explode("cells").alias("cell")).groupBy("cell").count().collect()))
     turn_of, turns = _turns(met, at_home, sizes)
